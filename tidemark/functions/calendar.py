@@ -44,7 +44,8 @@ def business_days(start: "Column | str", end: "Column | str") -> Column:
     Same-day and reversed ranges are empty and give 0.
     """
     n = _weekdays_before(day_number(end)) - _weekdays_before(day_number(start))
-    return F.greatest(n, F.lit(0)).cast("int")
+    # Not greatest(n, 0): greatest skips NULLs and would turn a missing date into 0.
+    return F.when(n < 0, F.lit(0)).otherwise(n).cast("int")
 
 
 def iso_weekday(c: "Column | str") -> Column:
