@@ -45,12 +45,12 @@ def trimmed(c: "Column | str") -> Column:
 def tolerant_int(c: "Column | str", bits: int = 32) -> Column:
     """Integer part of a numeric text; NULL for other text or on overflow.
 
-    Plain integer text takes the fast path (``try_cast`` accepts exactly
-    whitespace-padded integer text); only the rest pays for the pattern.
+    The pattern isolates the digits first, so the cast only sees text it
+    accepts (a failing ``try_cast`` is several times slower than a match).
     """
     t = "int" if bits == 32 else "long"
-    text = _c(c)
-    return F.coalesce(text.try_cast(t), F.regexp_extract(text, INTEGER_TEXT, 1).try_cast(t))
+    digits = F.regexp_extract(_c(c), INTEGER_TEXT, 1)
+    return F.nullif(digits, F.lit("")).try_cast(t)
 
 
 def tolerant_long(c: "Column | str") -> Column:

@@ -19,6 +19,7 @@ from tidemark.operators.typing import apply_roles, rejected_values
 from tidemark.plans import oracle
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions, PriceMode
+from tidemark.plans.pipeline import SAMPLE_FORMULA_COLUMNS, SAMPLE_ORDER_COLUMNS, grouped_answers, sorted_sample, split_answers
 from tidemark.sources.tpch_roles import RawTables, product_row_bound, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,17 +28,6 @@ DEFAULT = PipelineOptions()
 CORRECT = PipelineOptions(price_mode=PriceMode.CORRECT)
 IMPUTED = PipelineOptions(impute_orderdate=True)
 
-SAMPLE_ORDER_COLUMNS = (
-    "SalesOrderID", "SalesOrderDetailID", "OrderDate", "ShipDate", "ProductID", "OrderQty",
-    "UnitPrice", "UnitPriceDiscount", "LeadTimeInBusinessDays", "TotalLineExtendedPrice",
-    "TotalOrderFreight", "OnlineOrderFlag", "CustomerID",
-)
-SAMPLE_FORMULA_COLUMNS = (
-    "SalesOrderID", "SalesOrderDetailID", "OrderQty", "UnitPrice", "UnitPriceDiscount",
-    "TotalLineExtendedPrice_Spec", "TotalLineExtendedPrice_Correct", "PriceDiff_Pct",
-)
-
-
 def _layers(spark: SparkSession, sf_dir: str, options: PipelineOptions = DEFAULT) -> R.Layers:
     return R.build(raw_tables(spark, sf_dir), options, product_row_bound(spark, sf_dir))
 
@@ -46,12 +36,6 @@ def _raw(spark: SparkSession, sf_dir: str) -> RawTables:
     return raw_tables(spark, sf_dir)
 
 
-def _sorted_limit(df: DataFrame, cols: tuple[str, ...], n: int) -> DataFrame:
-    """The first n rows under a total order on all selected columns (a
-    sampling export: the limit is the feature)."""
-    return df.select(*cols).orderBy(*[F.col(c).asc_nulls_first() for c in cols]).limit(n)
-
-
 # ---------------------------------------------------------------- store layer
 
 
@@ -173,17 +157,24 @@ def _coverage(options):
     return q
 
 
+def _one_pass(which: int):
+    def q(spark, sf_dir):
+        return split_answers(grouped_answers(_layers(spark, sf_dir).orders_with_product))[which]
+
+    return q
+
+
 def q_formula_comparison(spark, sf_dir):
     po = _layers(spark, sf_dir).publish_orders
     return analysis.formula_comparison(po, R.PRICE_SPEC, R.PRICE_CORRECT, R.PRICE_GAP)
 
 
 def q_sample_orders(spark, sf_dir):
-    return _sorted_limit(_layers(spark, sf_dir).publish_orders, SAMPLE_ORDER_COLUMNS, 10)
+    return sorted_sample(_layers(spark, sf_dir).publish_orders, SAMPLE_ORDER_COLUMNS, 10)
 
 
 def q_sample_formulas(spark, sf_dir):
-    return _sorted_limit(_layers(spark, sf_dir).publish_orders, SAMPLE_FORMULA_COLUMNS, 100)
+    return sorted_sample(_layers(spark, sf_dir).publish_orders, SAMPLE_FORMULA_COLUMNS, 100)
 
 
 def q_dq_checks(spark, sf_dir):
@@ -240,6 +231,8 @@ QUERIES: dict[str, Query] = {
     "top_color_by_year_correct": _top_color(CORRECT),
     "avg_lead_by_category": _avg_lead(DEFAULT),
     "avg_lead_by_category_imputed": _avg_lead(IMPUTED),
+    "top_color_by_year_one_pass": _one_pass(0),
+    "avg_lead_by_category_one_pass": _one_pass(1),
     "lead_time_coverage": _coverage(DEFAULT),
     "lead_time_coverage_imputed": _coverage(IMPUTED),
     "formula_comparison": q_formula_comparison,
@@ -412,6 +405,8 @@ FROM orders_with_product GROUP BY OrderYear, Color"""
         "top_color_by_year_correct": _oracle_top_color(CORRECT),
         "avg_lead_by_category": _oracle_avg_lead(DEFAULT),
         "avg_lead_by_category_imputed": _oracle_avg_lead(IMPUTED),
+        "top_color_by_year_one_pass": _oracle_top_color(DEFAULT),
+        "avg_lead_by_category_one_pass": _oracle_avg_lead(DEFAULT),
         "lead_time_coverage": _oracle_coverage(DEFAULT),
         "lead_time_coverage_imputed": _oracle_coverage(IMPUTED),
         "formula_comparison": _with(

@@ -20,6 +20,7 @@ def local_session(app: str = "tidemark", cores: "int | str" = "*", shuffle_parti
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or max(8, 2 * n)))
         .config("spark.sql.adaptive.enabled", "true")

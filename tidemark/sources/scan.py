@@ -1,0 +1,24 @@
+"""Scan helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster's default parallelism, e.g. one file holding a single Parquet row
+    group (which Spark cannot split). The typing work after the scan is CPU
+    bound; in one task it would run on one core.
+
+    A no-op for large inputs, whose files and row groups already give at least
+    that many splits, so it never adds a shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_parquet_spread(spark: SparkSession, path: str) -> DataFrame:
+    return spread_scan(spark.read.parquet(path))

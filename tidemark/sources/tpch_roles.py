@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.scan import read_parquet_spread
+
 DRIVER_TABLES = ("lineitem", "orders", "part")
 
 # Text variants of the flag column, cycled by key (index = key % 7).
@@ -78,7 +80,7 @@ class RawTables:
 
 
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
+    return {t: read_parquet_spread(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
 
 
 def _text(c: Column) -> Column:
