@@ -63,7 +63,7 @@ def test_pipeline_end_to_end(spark, scratch):
     lazy = R.build(raw, product_row_bound=rows["raw_products"])
     top = spark.read.parquet(res.paths["analysis_top_color_by_year"])
     lead = spark.read.parquet(res.paths["analysis_avg_lead_by_category"])
-    assert sorted(top.collect()) == sorted(lazy.top_color_by_year.collect())
+    assert sorted(top.collect(), key=str) == sorted(lazy.top_color_by_year.collect(), key=str)
     assert sorted(lead.collect(), key=str) == sorted(lazy.avg_lead_by_category.collect(), key=str)
     for name in ("analysis_top_color_by_year", "sample_publish_orders", "formula_comparison_sample"):
         assert len(glob.glob(os.path.join(scratch, "exports", f"{name}.csv", "part-*.csv"))) == 1
