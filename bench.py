@@ -58,6 +58,7 @@ def main() -> None:
                 "queries": times,
                 "queries_total": round(sum(times.values()), 3),
                 "session_start": round(startup, 3),
+                "pipeline_steps": result.seconds,
                 "lines": result.rows.get("publish_orders"),
                 "sf": sf,
                 "cpus": cpus,

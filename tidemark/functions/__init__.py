@@ -1,0 +1 @@
+"""Column expressions: calendar, pricing, cleansing and enrichment."""

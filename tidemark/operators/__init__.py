@@ -1,0 +1 @@
+"""DataFrame operators: typing, keyed selection, joins, analysis, quality."""

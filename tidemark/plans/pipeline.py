@@ -15,6 +15,9 @@ run once for both answers.
 
 from __future__ import annotations
 
+import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -50,6 +53,7 @@ def sorted_sample(df: DataFrame, cols: "tuple[str, ...]", n: int) -> DataFrame:
 class RunResult:
     rows: dict[str, int] = field(default_factory=dict)
     paths: dict[str, str] = field(default_factory=dict)
+    seconds: dict[str, float] = field(default_factory=dict)
 
 
 def grouped_answers(lines: DataFrame) -> DataFrame:
@@ -89,53 +93,70 @@ def run(
     options: PipelineOptions = PipelineOptions(),
     export_dir: "str | None" = None,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    concurrent_jobs: int = 3,
 ) -> RunResult:
     """Write every layer under ``layout``; optionally export CSV reports.
 
     ``raw`` has ``products``, ``detail`` and ``header`` all-string frames
     (e.g. from :func:`tidemark.sources.csv.read_raw_csv`).
+
+    Independent chains (product, order lines, order headers; then the
+    exports) are submitted as concurrent Spark jobs from ``concurrent_jobs``
+    driver threads, so one job's small tail stages overlap another's work.
     """
     res = RunResult()
+    lock = threading.Lock()
 
     def put(layer: str, name: str, df: DataFrame) -> DataFrame:
         path = layout.path(layer, name)
-        res.rows[name] = write_parquet(df, path, name)
-        res.paths[name] = path
+        t0 = time.perf_counter()
+        rows = write_parquet(df, path, name)
+        with lock:
+            res.rows[name] = rows
+            res.seconds[name] = round(time.perf_counter() - t0, 3)
+            res.paths[name] = path
         return spark.read.parquet(path)
 
-    raw_products = put("raw", "raw_products", raw.products)
-    raw_detail = put("raw", "raw_sales_order_detail", raw.detail)
-    raw_header = put("raw", "raw_sales_order_header", raw.header)
-
-    store_products = put("store", "store_products", R.store_products(raw_products))
-    store_detail = put("store", "store_sales_order_detail", R.store_detail(raw_detail))
-    store_header = put("store", "store_sales_order_header", R.store_header(raw_header, options))
-
-    product = put("publish", "publish_product", R.publish_product(store_products))
-    orders = put("publish", "publish_orders", R.publish_orders(store_detail, store_header, options))
-
-    lines = R.orders_with_product(orders, product, res.rows["publish_product"], max_broadcast_rows)
-    groups = grouped_answers(lines).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        top, lead = split_answers(groups)
-        top = put("publish", "analysis_top_color_by_year", top)
-        lead = put("publish", "analysis_avg_lead_by_category", lead)
-    finally:
-        groups.unpersist()
-
-    if export_dir:
-        base = export_dir.rstrip("/")
-        write_single_csv(top, f"{base}/analysis_top_color_by_year.csv", ["OrderYear"])
-        write_single_csv(lead, f"{base}/analysis_avg_lead_by_category.csv", ["ProductCategoryName"])
-        write_single_csv(
-            sorted_sample(orders, SAMPLE_ORDER_COLUMNS, 10), f"{base}/sample_publish_orders.csv", SAMPLE_ORDER_COLUMNS
-        )
-        write_single_csv(
-            sorted_sample(orders, SAMPLE_FORMULA_COLUMNS, 100),
-            f"{base}/formula_comparison_sample.csv",
-            SAMPLE_FORMULA_COLUMNS,
-        )
-        write_single_csv(
-            formula_comparison(orders, R.PRICE_SPEC, R.PRICE_CORRECT, R.PRICE_GAP), f"{base}/formula_comparison.csv"
-        )
+    def product_chain() -> DataFrame:
+        raw_products = put("raw", "raw_products", raw.products)
+        store_products = put("store", "store_products", R.store_products(raw_products))
+        return put("publish", "publish_product", R.publish_product(store_products))
+
+    def detail_chain() -> DataFrame:
+        raw_detail = put("raw", "raw_sales_order_detail", raw.detail)
+        return put("store", "store_sales_order_detail", R.store_detail(raw_detail))
+
+    def header_chain() -> DataFrame:
+        raw_header = put("raw", "raw_sales_order_header", raw.header)
+        return put("store", "store_sales_order_header", R.store_header(raw_header, options))
+
+    with ThreadPoolExecutor(max_workers=max(1, concurrent_jobs)) as pool:
+        fp, fd, fh = (pool.submit(f) for f in (product_chain, detail_chain, header_chain))
+        store_detail, store_header = fd.result(), fh.result()
+        orders = put("publish", "publish_orders", R.publish_orders(store_detail, store_header, options))
+        product = fp.result()
+
+        lines = R.orders_with_product(orders, product, res.rows["publish_product"], max_broadcast_rows)
+        groups = grouped_answers(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            top, lead = split_answers(groups)
+            ft = pool.submit(put, "publish", "analysis_top_color_by_year", top)
+            fl = pool.submit(put, "publish", "analysis_avg_lead_by_category", lead)
+            top, lead = ft.result(), fl.result()
+        finally:
+            groups.unpersist()
+
+        if export_dir:
+            t0 = time.perf_counter()
+            base = export_dir.rstrip("/")
+            jobs = [
+                (top, "analysis_top_color_by_year.csv", ["OrderYear"]),
+                (lead, "analysis_avg_lead_by_category.csv", ["ProductCategoryName"]),
+                (sorted_sample(orders, SAMPLE_ORDER_COLUMNS, 10), "sample_publish_orders.csv", SAMPLE_ORDER_COLUMNS),
+                (sorted_sample(orders, SAMPLE_FORMULA_COLUMNS, 100), "formula_comparison_sample.csv", SAMPLE_FORMULA_COLUMNS),
+                (formula_comparison(orders, R.PRICE_SPEC, R.PRICE_CORRECT, R.PRICE_GAP), "formula_comparison.csv", []),
+            ]
+            for f in [pool.submit(write_single_csv, df, f"{base}/{name}", keys) for df, name, keys in jobs]:
+                f.result()
+            res.seconds["csv_exports"] = round(time.perf_counter() - t0, 3)
     return res

@@ -87,6 +87,17 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
+def _ts_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a wall-clock timestamp. Casting keeps it free of
+    the session time zone (``date_format`` would round-trip through it)."""
+    return ts.cast("timestamp_ntz").cast("string")
+
+
+def _day_text(ts: Column) -> Column:
+    """``yyyy-MM-dd`` of a wall-clock timestamp."""
+    return ts.cast("date").cast("string")
+
+
 def _cycle(key: Column, texts: tuple, modulus: int | None = None) -> Column:
     """``texts[key % modulus]`` (modulus defaults to len(texts)); NULL past the end."""
     m = F.pmod(key, F.lit(modulus or len(texts)))
@@ -127,11 +138,11 @@ def raw_header(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     od = F.col("o_orderdate")
     return o.select(
         F.when(F.pmod(k, F.lit(13)) == 0, F.concat(F.lit(" "), _text(k), F.lit(" "))).otherwise(_text(k)).alias("SalesOrderID"),
-        F.when(F.pmod(k, F.lit(97)) == 0, F.date_format(od, "yyyy-MM"))
-        .when(F.pmod(k, F.lit(7)) == 0, F.date_format(od, "yyyy-MM-dd"))
-        .otherwise(F.date_format(od, "yyyy-MM-dd HH:mm:ss"))
+        F.when(F.pmod(k, F.lit(97)) == 0, F.substring(_day_text(od), 1, 7))
+        .when(F.pmod(k, F.lit(7)) == 0, _day_text(od))
+        .otherwise(_ts_text(od))
         .alias("OrderDate"),
-        F.date_format(F.col("ship_ts"), "yyyy-MM-dd HH:mm:ss").alias("ShipDate"),
+        _ts_text(F.col("ship_ts")).alias("ShipDate"),
         _cycle(k, FLAG_TEXTS).alias("OnlineOrderFlag"),
         F.concat(F.lit("  AW"), F.lpad(_text(F.col("o_custkey")), 8, "0"), F.lit(" ")).alias("AccountNumber"),
         _text(F.col("o_custkey")).alias("CustomerID"),

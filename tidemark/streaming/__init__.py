@@ -1,0 +1,7 @@
+"""Streaming execution.
+
+The reference pipeline is batch only: no streams, state, watermarks or
+event-time windows. Nothing is implemented here on purpose; every operator in
+:mod:`tidemark.operators` is a plain DataFrame function and would apply
+unchanged to a streaming DataFrame where Spark supports the operation.
+"""
