@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.functions.pricing import line_price_amount, line_price_rate, official_price, pct_gap
 from tidemark.plans.options import PipelineOptions, PriceMode
