@@ -43,8 +43,11 @@ def test_trim_spaces_only(spark):
 
 
 def test_timestamps(spark):
-    vals = ["2021-06-01 10:00:00", "2021-06-01", "garbage", None]
-    assert _one(spark, vals, parse_timestamp) == [dt.datetime(2021, 6, 1, 10), dt.datetime(2021, 6, 1), None, None]
+    vals = ["2021-06-01 10:00:00", "2021-06-01", "2021-6", "garbage", None]
+    # '2021-6' is not 7 characters, so it is not "incomplete": it parses as 1 June
+    assert _one(spark, vals, parse_timestamp) == [
+        dt.datetime(2021, 6, 1, 10), dt.datetime(2021, 6, 1), dt.datetime(2021, 6, 1), None, None
+    ]
 
 
 def test_incomplete_dates_and_repair(spark):
