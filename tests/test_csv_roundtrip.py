@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import retail as R
 from tidemark.sources.csv import read_raw_csv
-from tidemark.sources.tpch_roles import RawTables, raw_tables
+from tidemark.plans.retail import RawTables
+from tidemark.sources.tpch_roles import raw_tables
 
 
 def _empty_to_null(df):
@@ -39,3 +40,26 @@ def test_pipeline_from_csv_files(spark, scratch):
         left = sorted((tuple(r) for r in getattr(a, attr).collect()), key=str)
         right = sorted((tuple(r) for r in getattr(b, attr).collect()), key=str)
         assert left == right, attr
+
+
+def test_command_line_run(spark, scratch):
+    from tidemark.__main__ import INPUT_FILES, main
+
+    views = raw_tables(spark, SF_SMOKE)
+    data = os.path.join(scratch, "data")
+    for key, fname in INPUT_FILES.items():
+        (
+            getattr(views, key)
+            .write.option("header", "true")
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .csv(os.path.join(data, fname))
+        )
+    rows = main(
+        ["--data-dir", data, "--out", os.path.join(scratch, "out"), "--exports", os.path.join(scratch, "rep"),
+         "--price-mode", "correct", "--impute-orderdate"],
+        spark=spark,
+    )
+    assert rows["publish_orders"] == rows["raw_sales_order_detail"] > 0
+    assert rows["analysis_top_color_by_year"] > 0
+    assert os.path.isdir(os.path.join(scratch, "rep", "analysis_avg_lead_by_category.csv"))

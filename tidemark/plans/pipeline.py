@@ -88,7 +88,7 @@ def split_answers(g: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def run(
     spark: SparkSession,
-    raw,
+    raw: R.RawTables,
     layout: Layout,
     options: PipelineOptions = PipelineOptions(),
     export_dir: "str | None" = None,
@@ -97,8 +97,8 @@ def run(
 ) -> RunResult:
     """Write every layer under ``layout``; optionally export CSV reports.
 
-    ``raw`` has ``products``, ``detail`` and ``header`` all-string frames
-    (e.g. from :func:`tidemark.sources.csv.read_raw_csv`).
+    ``raw`` holds the three all-string frames (e.g. from
+    :func:`tidemark.sources.csv.read_raw_csv`).
 
     Independent chains (product, order lines, order headers; then the
     exports) are submitted as concurrent Spark jobs from ``concurrent_jobs``

@@ -20,7 +20,8 @@ from tidemark.plans import oracle
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions, PriceMode
 from tidemark.plans.pipeline import SAMPLE_FORMULA_COLUMNS, SAMPLE_ORDER_COLUMNS, grouped_answers, sorted_sample, split_answers
-from tidemark.sources.tpch_roles import RawTables, product_row_bound, raw_tables
+from tidemark.plans.retail import RawTables
+from tidemark.sources.tpch_roles import product_row_bound, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 

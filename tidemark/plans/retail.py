@@ -76,6 +76,15 @@ PRICE_GAP = "PriceDiff_Pct"
 FREIGHT_IN, FREIGHT_OUT = "Freight", "TotalOrderFreight"
 
 
+@dataclass(frozen=True)
+class RawTables:
+    """Pipeline input: the three raw all-string tables."""
+
+    products: DataFrame
+    detail: DataFrame
+    header: DataFrame
+
+
 # ---------------------------------------------------------------- store layer
 
 
@@ -191,9 +200,8 @@ class Layers:
     avg_lead_by_category: DataFrame
 
 
-def build(raw, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None) -> Layers:
-    """All layers as lazy DataFrames from raw tables (``products``, ``detail``,
-    ``header`` attributes)."""
+def build(raw: RawTables, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None) -> Layers:
+    """All layers as lazy DataFrames from the raw tables."""
     sp = store_products(raw.products)
     sd = store_detail(raw.detail)
     sh = store_header(raw.header, options)

@@ -20,11 +20,10 @@ The oracle SQL builds the same views independently (see ``plans.oracle``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.retail import RawTables
 from tidemark.sources.scan import read_parquet_spread
 
 DRIVER_TABLES = ("lineitem", "orders", "part")
@@ -72,13 +71,6 @@ HEADER_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
-class RawTables:
-    products: DataFrame
-    detail: DataFrame
-    header: DataFrame
-
-
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: read_parquet_spread(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
 
