@@ -69,7 +69,8 @@ def test_order_checks(spark):
         ],
     )
     detail = spark.range(4)
-    got = {r.check: (r.violations, r.checked) for r in quality.order_checks(pub, detail).collect()}
+    checks = quality.order_checks(pub, detail, required=["OrderQty", "TotalOrderFreight", "Missing"])
+    got = {r.check: (r.violations, r.checked) for r in checks.collect()}
     assert got == {
         "published_nonempty": (0, 3),
         "negative_freight": (1, 3),
@@ -77,6 +78,7 @@ def test_order_checks(spark):
         "ship_before_order": (1, 3),
         "lead_time_missing": (1, 3),
         "join_row_change": (1, 4),
+        "required_columns": (1, 3),
     }
 
 

@@ -46,13 +46,16 @@ def order_checks(
     order_date: str = "OrderDate",
     ship_date: str = "ShipDate",
     lead: str = "LeadTimeInBusinessDays",
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Integrity checks of published order lines against the typed detail.
 
     published_nonempty, negative_freight, price_sign_mismatch (a negative price
     needs a negative quantity and vice versa), ship_before_order,
     lead_time_missing and join_row_change (|detail rows - published rows|).
-    Both tables are scanned once, in one job, via a tagged union.
+    Both tables are scanned once, in one job, via a tagged union. With
+    ``required``, a ``required_columns`` row counts the missing ones (a
+    plan-time check).
     """
     tag = "__tidemark_published"
     pub = published.select(
@@ -88,6 +91,11 @@ def order_checks(
                 ("lead_time_missing", F.col("lead_missing"), pub_rows),
                 ("join_row_change", F.abs(F.col("detail_rows") - pub_rows), F.col("detail_rows")),
             ]
+            + (
+                [("required_columns", F.lit(len(missing_columns(published, required))), F.lit(len(required)))]
+                if required
+                else []
+            )
         )
     )
 

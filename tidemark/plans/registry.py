@@ -178,9 +178,13 @@ def q_sample_formulas(spark, sf_dir):
     return sorted_sample(_layers(spark, sf_dir).publish_orders, SAMPLE_FORMULA_COLUMNS, 100)
 
 
+# Columns the published orders must carry.
+REQUIRED_ORDER_COLUMNS = ("LeadTimeInBusinessDays", "TotalLineExtendedPrice", "TotalOrderFreight")
+
+
 def q_dq_checks(spark, sf_dir):
     L = _layers(spark, sf_dir)
-    return quality.order_checks(L.publish_orders, L.store_detail)
+    return quality.order_checks(L.publish_orders, L.store_detail, required=REQUIRED_ORDER_COLUMNS)
 
 
 def q_orphan_lines(spark, sf_dir):
@@ -331,6 +335,7 @@ SELECT name AS "check", CAST(violations AS BIGINT) AS violations, CAST(checked A
   UNION ALL SELECT 'ship_before_order', reversed, pub_rows FROM c
   UNION ALL SELECT 'lead_time_missing', lead_missing, pub_rows FROM c
   UNION ALL SELECT 'join_row_change', abs(detail_rows - pub_rows), detail_rows FROM c
+  UNION ALL SELECT 'required_columns', 0, 3 FROM c
 )"""
 
 
