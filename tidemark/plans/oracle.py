@@ -84,7 +84,7 @@ raw_products AS (
               WHEN p_partkey % 19 = 0 THEN NULL
               ELSE CASE split_part(p_name, ' ', 1) WHEN 'red' THEN 'Red' WHEN 'blue' THEN '  Blue '
                      WHEN 'cold' THEN 'White' WHEN 'hot' THEN 'Multi ' WHEN 'new' THEN 'Black'
-                     WHEN 'old' THEN 'Silver' WHEN 'small' THEN 'Yellow' ELSE NULL END
+                     WHEN 'old' THEN 'Silver' WHEN 'small' THEN 'Yellow' WHEN 'large' THEN 'Grey' ELSE NULL END
          END AS Color,
          CAST(p_size AS VARCHAR) AS SafetyStockLevel,
          CASE p_partkey % 4 WHEN 0 THEN '12.5' WHEN 1 THEN 'x' WHEN 2 THEN '99999999999'

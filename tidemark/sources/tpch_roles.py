@@ -30,7 +30,7 @@ DRIVER_TABLES = ("lineitem", "orders", "part")
 
 # Text variants of the flag column, cycled by key (index = key % 7).
 FLAG_TEXTS = ("TRUE", "false", "True", "FALSE", "1", " true", None)
-# First word of p_name -> raw colour text (other words: NULL).
+# First word of p_name -> raw colour text.
 # Keys divisible by 17 get a blank colour ('   '), by 19 a NULL one.
 COLOR_TEXTS = {
     "red": "Red",
@@ -40,6 +40,7 @@ COLOR_TEXTS = {
     "new": "Black",
     "old": "Silver",
     "small": "Yellow",
+    "large": "Grey",
 }
 # Second word of p_name -> raw subcategory text (other words: NULL).
 SUBCATEGORY_TEXTS = {
