@@ -60,6 +60,7 @@ def main() -> None:
                 "session_start": round(startup, 3),
                 "pipeline_steps": result.seconds,
                 "lines": result.rows.get("publish_orders"),
+                "lines_per_sec": round(result.rows.get("publish_orders", 0) / pipeline, 1),
                 "sf": sf,
                 "cpus": cpus,
             }
