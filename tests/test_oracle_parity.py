@@ -38,9 +38,17 @@ def test_every_query_has_oracle():
     assert set(SQL) == set(QUERIES)
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMOKE)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     cur = duck.execute(SQL[name])
     dcols = [c[0] for c in cur.description]
     assert sorted(df.columns) == sorted(dcols)

@@ -218,7 +218,7 @@ publish_orders AS (
   FROM measured
 ),
 orders_with_product AS (
-  SELECT o.*, p.Color, p.ProductCategoryName, year(o.OrderDate) AS OrderYear
+  SELECT o.*, p.Color, p.ProductCategoryName, CAST(year(o.OrderDate) AS INTEGER) AS OrderYear
   FROM publish_orders o LEFT JOIN (SELECT ProductID, Color, ProductCategoryName FROM publish_product) p
     ON o.ProductID = p.ProductID
 )"""

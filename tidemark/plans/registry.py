@@ -295,7 +295,7 @@ def _oracle_rejects(table: str, cols: dict[str, str]) -> str:
     }
     parts = ["count(*) AS rows"]
     for c, role in cols.items():
-        parts.append(f"count_if({c} IS NOT NULL AND {typed[role](c)} IS NULL) AS {c}_rejected")
+        parts.append(f"CAST(count_if({c} IS NOT NULL AND {typed[role](c)} IS NULL) AS BIGINT) AS {c}_rejected")
     return _with(f"\nSELECT {', '.join(parts)} FROM {table}")
 
 
@@ -370,7 +370,8 @@ FROM f GROUP BY flag_column, raw_text"""
         "header_rejects": _oracle_rejects("raw_header", header_cols),
         "detail_rejects": _oracle_rejects("raw_detail", detail_cols),
         "incomplete_dates": _with(
-            "\nSELECT count_if(length(OrderDate) = 7) AS incomplete_orderdates, count(*) AS header_rows FROM raw_header"
+            "\nSELECT CAST(count_if(length(OrderDate) = 7) AS BIGINT) AS incomplete_orderdates, count(*) AS header_rows"
+            " FROM raw_header"
         ),
         "orderdate_null": _with("\nSELECT SalesOrderID, OrderDate, ShipDate FROM store_header"),
         "orderdate_impute": _with("\nSELECT SalesOrderID, OrderDate, ShipDate FROM store_header", IMPUTED),
@@ -378,7 +379,7 @@ FROM f GROUP BY flag_column, raw_text"""
         "duplicate_profile": _with(
             """
 SELECT count(*) AS total_rows, count(DISTINCT ProductID) AS distinct_keys,
-       count_if(ProductID IS NULL) AS null_keys,
+       CAST(count_if(ProductID IS NULL) AS BIGINT) AS null_keys,
        count(*) - count(DISTINCT ProductID) - CASE WHEN count_if(ProductID IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_rows
 FROM typed_products"""
         ),
