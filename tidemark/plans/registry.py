@@ -13,13 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleanse import strict_flag
+from tidemark.functions.cleanse import is_incomplete_date, strict_flag
 from tidemark.operators import analysis, joins, quality
 from tidemark.operators.typing import apply_roles, rejected_values
 from tidemark.plans import oracle
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions, PriceMode
-from tidemark.plans.pipeline import SAMPLE_FORMULA_COLUMNS, SAMPLE_ORDER_COLUMNS, grouped_answers, sorted_sample, split_answers
+from tidemark.plans.pipeline import (
+    SAMPLE_FORMULA_COLUMNS,
+    SAMPLE_ORDER_COLUMNS,
+    grouped_answers,
+    sorted_sample,
+    split_answers,
+)
 from tidemark.plans.retail import RawTables
 from tidemark.sources.tpch_roles import product_row_bound, raw_tables
 
@@ -29,11 +35,13 @@ DEFAULT = PipelineOptions()
 CORRECT = PipelineOptions(price_mode=PriceMode.CORRECT)
 IMPUTED = PipelineOptions(impute_orderdate=True)
 
+
 def _layers(spark: SparkSession, sf_dir: str, options: PipelineOptions = DEFAULT) -> R.Layers:
     return R.build(raw_tables(spark, sf_dir), options, product_row_bound(spark, sf_dir))
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> RawTables:
+    """Raw text views over the whole driver tables."""
     return raw_tables(spark, sf_dir)
 
 
@@ -75,8 +83,6 @@ def q_detail_rejects(spark, sf_dir):
 
 
 def q_incomplete_dates(spark, sf_dir):
-    from tidemark.functions.cleanse import is_incomplete_date
-
     return _raw(spark, sf_dir).header.agg(
         F.count_if(is_incomplete_date("OrderDate")).alias("incomplete_orderdates"),
         F.count(F.lit(1)).alias("header_rows"),
