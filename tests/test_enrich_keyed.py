@@ -84,3 +84,8 @@ def test_keep_first_plan_limits_before_shuffle(spark):
 
     plan = plan_text(keep_first_by_preference(df, ["k"], [F.col("v")]))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_dedupe_without_category_column(spark):
+    df = spark.createDataFrame([("1", "b"), ("1", "a"), ("2", "c")], "ProductID string, Color string")
+    assert sorted(tuple(r) for r in R.store_products(df).collect()) == [(1, "a"), (2, "c")]

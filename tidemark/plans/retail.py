@@ -96,9 +96,10 @@ def store_products(raw: DataFrame) -> DataFrame:
     are broken by the other columns, so the choice is deterministic.
     """
     typed = apply_roles(raw, PRODUCT_ROLES)
-    return keep_first_by_preference(
-        typed, [PRODUCT_KEY], [F.when(is_blank("ProductCategoryName"), 1).otherwise(0)]
+    prefer = (
+        [F.when(is_blank("ProductCategoryName"), 1).otherwise(0)] if "ProductCategoryName" in typed.columns else []
     )
+    return keep_first_by_preference(typed, [PRODUCT_KEY], prefer)
 
 
 def store_detail(raw: DataFrame) -> DataFrame:
