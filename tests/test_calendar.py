@@ -81,3 +81,15 @@ def test_additive_and_weekly(spark):
 def test_iso_weekday(spark):
     df = spark.createDataFrame([(D(2024, 1, 8),), (D(2024, 1, 7),), (D(1970, 1, 1),)], "d date")
     assert [r[0] for r in df.select(iso_weekday("d")).collect()] == [1, 7, 4]
+
+
+def test_second_method_agrees(spark):
+    from tidemark.operators.quality import business_days_by_weeks
+
+    rng = random.Random(3)
+    rows = []
+    for _ in range(2000):
+        a = D(1990, 1, 1) + dt.timedelta(days=rng.randrange(0, 15000))
+        rows.append((a, a + dt.timedelta(days=rng.randrange(-10, 40))))
+    df = spark.createDataFrame(rows, "o date, s date")
+    assert df.filter(business_days("o", "s") != business_days_by_weeks("o", "s")).count() == 0
