@@ -35,11 +35,17 @@ def local_session(app: str = "tidemark", cores: "int | str" = "*", shuffle_parti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; set a scratch one only if unset
-    (local runs and tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    """The checkpoint folder of the session: ``spark.checkpoint.dir`` when the
+    cluster names one, else the context's folder; a scratch folder is set
+    only when neither exists (local runs and tests)."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    current = sc.getCheckpointDir()
+    if current is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+        current = sc.getCheckpointDir()
     return current

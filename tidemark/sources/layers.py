@@ -32,14 +32,15 @@ class Layout:
 
 
 def shared_base(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A folder under the cluster's shared checkpoint folder
+    (``spark.checkpoint.dir``, or the one set on the context).
 
-    Raises if the session names none: a machine-local folder would not be
+    Raises if the session has none: a machine-local folder would not be
     visible to executors on other hosts.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
+        raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
     return "/".join([root.rstrip("/"), *parts])
 
 
