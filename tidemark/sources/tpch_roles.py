@@ -57,21 +57,6 @@ REORDER_TEXTS = ("12.5", "x", "99999999999")
 # Parts larger than this also appear as a second, older product row.
 DUPLICATE_MIN_SIZE = 46
 
-PRODUCT_COLUMNS = (
-    "ProductID", "ProductDesc", "ProductNumber", "MakeFlag", "Color", "SafetyStockLevel",
-    "ReorderPoint", "StandardCost", "ListPrice", "Size", "SizeUnitMeasureCode", "Weight",
-    "WeightUnitMeasureCode", "ProductCategoryName", "ProductSubCategoryName",
-)
-DETAIL_COLUMNS = (
-    "SalesOrderID", "SalesOrderDetailID", "OrderQty", "ProductID", "UnitPrice",
-    "UnitPriceDiscount", "CarrierTrackingNumber",
-)
-HEADER_COLUMNS = (
-    "SalesOrderID", "OrderDate", "ShipDate", "OnlineOrderFlag", "AccountNumber", "CustomerID",
-    "SalesPersonID", "Freight", "PurchaseOrderNumber",
-)
-
-
 def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: read_parquet_spread(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
 
