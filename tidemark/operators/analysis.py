@@ -26,7 +26,13 @@ def _c(c: "Column | str") -> Column:
 
 
 def money_sum(c: "Column | str") -> Column:
-    """Exact, order-independent sum of an amount column, as double."""
+    """Exact, order-independent sum of an amount column, as double.
+
+    Lines are cast to ``decimal(18,4)`` (values below 1e14 in magnitude), which
+    Spark adds on 64-bit integers; the sum itself is ``decimal(28,4)``. A line
+    beyond the bound is corrupt input: under ANSI mode the cast fails the job
+    loudly instead of silently dropping the line from the total.
+    """
     return F.sum(_c(c).cast(MONEY)).cast("double")
 
 
