@@ -32,8 +32,13 @@ def test_bounded_broadcast(spark):
     try:
         assert "BroadcastHashJoin" in plan_text(joins.join_dimension(fact, dim, "k", "left", dim_row_bound=10))
         unbounded = plan_text(joins.join_dimension(fact, dim, "k", "left", dim_row_bound=None))
-        too_big = plan_text(joins.join_dimension(fact, dim, "k", "left", dim_row_bound=10, max_broadcast_rows=5))
+        too_big = plan_text(joins.join_dimension(fact, dim, "k", "left", dim_row_bound=10, max_rows=5))
         assert "SortMergeJoin" in unbounded and "SortMergeJoin" in too_big
+        spark.conf.set(joins.MAX_BROADCAST_ROWS_CONF, "0")
+        try:
+            assert "SortMergeJoin" in plan_text(joins.join_dimension(fact, dim, "k", "left", dim_row_bound=10))
+        finally:
+            spark.conf.unset(joins.MAX_BROADCAST_ROWS_CONF)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 

@@ -39,9 +39,22 @@ def lines_with_header(detail: DataFrame, header: DataFrame, on: "str | Sequence[
     return detail.join(header, on=keys, how="inner")
 
 
-def bounded_broadcast(dim: DataFrame, row_bound: "int | None", max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if ``row_bound`` is known and <= ``max_rows``; else ``dim``."""
-    if row_bound is not None and 0 <= row_bound <= max_rows:
+# Session setting that overrides the default row bound (e.g. 0 disables it).
+MAX_BROADCAST_ROWS_CONF = "spark.tidemark.maxBroadcastRows"
+
+
+def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_BROADCAST_ROWS) -> int:
+    """The row bound for broadcasts: the session's
+    ``spark.tidemark.maxBroadcastRows`` if set, else ``default``."""
+    value = df.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
+    return int(value) if value not in (None, "") else default
+
+
+def bounded_broadcast(dim: DataFrame, row_bound: "int | None", max_rows: "int | None" = None) -> DataFrame:
+    """``broadcast(dim)`` if ``row_bound`` is known and <= the row bound
+    (``max_rows``, else the session setting, else the default); else ``dim``."""
+    limit = max_broadcast_rows(dim) if max_rows is None else max_rows
+    if row_bound is not None and 0 <= row_bound <= limit:
         return F.broadcast(dim)
     return dim
 
@@ -52,13 +65,13 @@ def join_dimension(
     on: "str | Sequence[str]",
     how: str = "left",
     dim_row_bound: "int | None" = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_rows: "int | None" = None,
 ) -> DataFrame:
     """Equi-join a fact table to a dimension (USING semantics).
 
     With ``how='left'`` unmatched facts keep NULL dimension attributes.
     """
-    return fact.join(bounded_broadcast(dim, dim_row_bound, max_broadcast_rows), on=_keys(on), how=how)
+    return fact.join(bounded_broadcast(dim, dim_row_bound, max_rows), on=_keys(on), how=how)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, on: "str | Sequence[str]") -> DataFrame:

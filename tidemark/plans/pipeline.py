@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.analysis import formula_comparison, money_sum, top_by_group
-from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions
 from tidemark.sources.csv import write_single_csv
@@ -92,7 +91,7 @@ def run(
     layout: Layout,
     options: PipelineOptions = PipelineOptions(),
     export_dir: "str | None" = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: "int | None" = None,
     concurrent_jobs: int = 3,
 ) -> RunResult:
     """Write every layer under ``layout``; optionally export CSV reports.

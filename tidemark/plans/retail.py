@@ -19,7 +19,7 @@ from tidemark.functions.cleanse import Role, repaired_timestamp
 from tidemark.functions.enrich import MISSING_COLOR, category_from_rules, fill_blank, is_blank
 from tidemark.functions.pricing import line_price_amount, line_price_rate, official_price, pct_gap
 from tidemark.operators.analysis import mean_by, revenue_by, top_by_group
-from tidemark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, join_dimension, lines_with_header
+from tidemark.operators.joins import join_dimension, lines_with_header
 from tidemark.operators.keyed import keep_first_by_preference
 from tidemark.operators.typing import apply_roles
 from tidemark.plans.options import PipelineOptions
@@ -163,7 +163,7 @@ def orders_with_product(
     orders: DataFrame,
     product: DataFrame,
     product_row_bound: "int | None" = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: "int | None" = None,
 ) -> DataFrame:
     """Order lines with product Color and category (left join: lines without a
     product keep NULLs, distinct from the 'N/A' colour) and the order year."""
