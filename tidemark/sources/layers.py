@@ -38,7 +38,12 @@ def shared_base(spark: SparkSession, *parts: str) -> str:
     Raises if the session has none: a machine-local folder would not be
     visible to executors on other hosts.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except (NotImplementedError, AttributeError):  # e.g. Spark Connect
+            root = None
     if not root:
         raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir to a shared folder")
     return "/".join([root.rstrip("/"), *parts])

@@ -14,8 +14,12 @@ def spread_scan(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A no-op for large inputs, whose files and row groups already give at least
     that many splits, so it never adds a shuffle at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except (NotImplementedError, AttributeError):  # e.g. Spark Connect: no RDD view; keep the plan
+        return df
+    if splits >= target:
         return df
     return df.repartition(target)
 
