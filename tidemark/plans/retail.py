@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,24 +190,50 @@ def avg_lead_by_category(lines: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ assembly
 
 
-@dataclass(frozen=True)
 class Layers:
-    store_products: DataFrame
-    store_detail: DataFrame
-    store_header: DataFrame
-    publish_product: DataFrame
-    publish_orders: DataFrame
-    orders_with_product: DataFrame
-    top_color_by_year: DataFrame
-    avg_lead_by_category: DataFrame
+    """Every layer of one pipeline build as lazy DataFrames.
+
+    Each layer is constructed on first access (and then reused), so a caller
+    that needs only the published orders never constructs the product
+    de-duplication or the analysis aggregates.
+    """
+
+    def __init__(self, raw: RawTables, options: PipelineOptions, product_row_bound: "int | None") -> None:
+        self.raw, self.options, self.product_row_bound = raw, options, product_row_bound
+
+    @cached_property
+    def store_products(self) -> DataFrame:
+        return store_products(self.raw.products)
+
+    @cached_property
+    def store_detail(self) -> DataFrame:
+        return store_detail(self.raw.detail)
+
+    @cached_property
+    def store_header(self) -> DataFrame:
+        return store_header(self.raw.header, self.options)
+
+    @cached_property
+    def publish_product(self) -> DataFrame:
+        return publish_product(self.store_products)
+
+    @cached_property
+    def publish_orders(self) -> DataFrame:
+        return publish_orders(self.store_detail, self.store_header, self.options)
+
+    @cached_property
+    def orders_with_product(self) -> DataFrame:
+        return orders_with_product(self.publish_orders, self.publish_product, self.product_row_bound)
+
+    @cached_property
+    def top_color_by_year(self) -> DataFrame:
+        return top_color_by_year(self.orders_with_product)
+
+    @cached_property
+    def avg_lead_by_category(self) -> DataFrame:
+        return avg_lead_by_category(self.orders_with_product)
 
 
 def build(raw: RawTables, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None) -> Layers:
-    """All layers as lazy DataFrames from the raw tables."""
-    sp = store_products(raw.products)
-    sd = store_detail(raw.detail)
-    sh = store_header(raw.header, options)
-    pp = publish_product(sp)
-    po = publish_orders(sd, sh, options)
-    owp = orders_with_product(po, pp, product_row_bound)
-    return Layers(sp, sd, sh, pp, po, owp, top_color_by_year(owp), avg_lead_by_category(owp))
+    """All layers as lazy DataFrames from the raw tables (see :class:`Layers`)."""
+    return Layers(raw, options, product_row_bound)

@@ -20,10 +20,11 @@ The oracle SQL builds the same views independently (see ``plans.oracle``).
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.retail import RawTables
 from tidemark.sources.scan import read_parquet_spread
 
 DRIVER_TABLES = ("lineitem", "orders", "part")
@@ -57,10 +58,6 @@ REORDER_TEXTS = ("12.5", "x", "99999999999")
 # Parts larger than this also appear as a second, older product row.
 DUPLICATE_MIN_SIZE = 46
 
-def load_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: read_parquet_spread(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
-
-
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -181,13 +178,33 @@ def raw_products(part: DataFrame) -> DataFrame:
     return current.unionByName(older)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    t = load_driver_tables(spark, sf_dir)
-    return RawTables(
-        products=raw_products(t["part"]),
-        detail=raw_detail(t["lineitem"]),
-        header=raw_header(t["orders"], t["lineitem"]),
-    )
+class DriverRawTables:
+    """The three raw views over the driver tables under ``sf_dir``, each
+    built on first access (a query touching only headers never reads
+    ``part``). Same attributes as :class:`~tidemark.plans.retail.RawTables`."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+
+    @cached_property
+    def _lineitem(self) -> DataFrame:
+        return read_parquet_spread(self.spark, f"{self.sf_dir}/lineitem.parquet")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return raw_products(read_parquet_spread(self.spark, f"{self.sf_dir}/part.parquet"))
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        return raw_detail(self._lineitem)
+
+    @cached_property
+    def header(self) -> DataFrame:
+        return raw_header(read_parquet_spread(self.spark, f"{self.sf_dir}/orders.parquet"), self._lineitem)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> DriverRawTables:
+    return DriverRawTables(spark, sf_dir)
 
 
 def product_row_bound(spark: SparkSession, sf_dir: str) -> int:
