@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.scan import read_parquet_spread
 
-DRIVER_TABLES = ("lineitem", "orders", "part")
 
 # Text variants of the flag column, cycled by key (index = key % 7).
 FLAG_TEXTS = ("TRUE", "false", "True", "FALSE", "1", " true", None)
