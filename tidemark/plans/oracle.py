@@ -105,7 +105,7 @@ raw_products AS (
          'CM ', NULL, 'LB',
          CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE 'Legacy' END,
          CASE WHEN p_partkey % 11 = 0 THEN lower({_SUBCATEGORY}) ELSE {_SUBCATEGORY} END
-  FROM part WHERE p_size >= 46
+  FROM part
 )"""
 
 TYPED_PRODUCTS = f"""

@@ -3,7 +3,7 @@
 The driver tables are clean and typed; the pipeline starts from raw text. The
 raw views render every column as text, the way a CSV export would, and inject
 deterministic defects chosen by key arithmetic (padding, blanks, bad numbers,
-odd flag words, month-only dates, duplicate product rows). No row is dropped:
+odd flag words, month-only dates, a duplicate of every product). No row is dropped:
 every view covers its whole source table, so work grows with the data.
 
 Role mapping:
@@ -54,8 +54,6 @@ SUBCATEGORY_TEXTS = {
 }
 # ReorderPoint text by key % 4 (3 -> three times the size).
 REORDER_TEXTS = ("12.5", "x", "99999999999")
-# Parts larger than this also appear as a second, older product row.
-DUPLICATE_MIN_SIZE = 46
 
 def _text(c: Column) -> Column:
     return c.cast("string")
@@ -157,7 +155,9 @@ def raw_products(part: DataFrame) -> DataFrame:
         .alias("ProductCategoryName"),
         _subcategory(name, k).alias("ProductSubCategoryName"),
     )
-    older = part.filter(size >= DUPLICATE_MIN_SIZE).select(
+    # Every part also appears as a second, older product row (ids padded, so
+    # they collide only after typing); de-duplication must pick one.
+    older = part.select(
         F.concat(F.lit(" "), _text(k)).alias("ProductID"),
         F.concat(name, F.lit(" (old)")).alias("ProductDesc"),
         F.col("p_brand").alias("ProductNumber"),
@@ -207,7 +207,7 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> DriverRawTables:
 
 
 def product_row_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on product rows: each part yields at most two raw rows.
+    """Upper bound on product rows: each part yields two raw rows.
 
     Counting a Parquet table without filters reads only file metadata.
     """
