@@ -89,3 +89,12 @@ def test_keep_first_plan_limits_before_shuffle(spark):
 def test_dedupe_without_category_column(spark):
     df = spark.createDataFrame([("1", "b"), ("1", "a"), ("2", "c")], "ProductID string, Color string")
     assert sorted(tuple(r) for r in R.store_products(df).collect()) == [(1, "a"), (2, "c")]
+
+
+def test_colour_through_store_and_publish(spark):
+    """Raw colour text -> trimmed -> blank filled (FIXTURES product rows)."""
+    df = spark.createDataFrame(
+        [("1", None), ("2", ""), ("3", "   "), ("4", "  Red ")], "ProductID string, Color string"
+    )
+    got = {r.ProductID: r.Color for r in R.publish_product(R.store_products(df)).collect()}
+    assert got == {1: "N/A", 2: "N/A", 3: "N/A", 4: "Red"}

@@ -108,6 +108,8 @@ raw_products AS (
   FROM part
 )"""
 
+# Fixed values inside the SQL below: the category rules (Clothing, Accessories,
+# Components lists and the 'frames' substring) and the 'N/A' colour.
 TYPED_PRODUCTS = f"""
 typed_products AS (
   SELECT {_long("ProductID")} AS ProductID,
