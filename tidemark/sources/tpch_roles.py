@@ -20,6 +20,7 @@ The oracle SQL builds the same views independently (see ``plans.oracle``).
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -177,6 +178,19 @@ def raw_products(part: DataFrame) -> DataFrame:
     return current.unionByName(older)
 
 
+# One scan plan per session and path: the driver tables are read-only, so the
+# file listing, footer read and split check are done once per session (plans
+# only; no data or results are kept).
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    per_session = _SCANS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = read_parquet_spread(spark, path)
+    return per_session[path]
+
+
 class DriverRawTables:
     """The three raw views over the driver tables under ``sf_dir``, each
     built on first access (a query touching only headers never reads
@@ -187,11 +201,11 @@ class DriverRawTables:
 
     @cached_property
     def _lineitem(self) -> DataFrame:
-        return read_parquet_spread(self.spark, f"{self.sf_dir}/lineitem.parquet")
+        return _scan(self.spark, f"{self.sf_dir}/lineitem.parquet")
 
     @cached_property
     def products(self) -> DataFrame:
-        return raw_products(read_parquet_spread(self.spark, f"{self.sf_dir}/part.parquet"))
+        return raw_products(_scan(self.spark, f"{self.sf_dir}/part.parquet"))
 
     @cached_property
     def detail(self) -> DataFrame:
@@ -199,7 +213,7 @@ class DriverRawTables:
 
     @cached_property
     def header(self) -> DataFrame:
-        return raw_header(read_parquet_spread(self.spark, f"{self.sf_dir}/orders.parquet"), self._lineitem)
+        return raw_header(_scan(self.spark, f"{self.sf_dir}/orders.parquet"), self._lineitem)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> DriverRawTables:
