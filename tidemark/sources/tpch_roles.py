@@ -220,9 +220,17 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> DriverRawTables:
     return DriverRawTables(spark, sf_dir)
 
 
+_PART_ROWS: "weakref.WeakKeyDictionary[SparkSession, dict[str, int]]" = weakref.WeakKeyDictionary()
+
+
 def product_row_bound(spark: SparkSession, sf_dir: str) -> int:
     """Upper bound on product rows: each part yields two raw rows.
 
-    Counting a Parquet table without filters reads only file metadata.
+    Counting a Parquet table without filters reads only file metadata; the
+    read-only table is counted once per session.
     """
-    return 2 * spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet").count()
+    path = f"{sf_dir.rstrip('/')}/part.parquet"
+    per_session = _PART_ROWS.setdefault(spark, {})
+    if path not in per_session:
+        per_session[path] = spark.read.parquet(path).count()
+    return 2 * per_session[path]
