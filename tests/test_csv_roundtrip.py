@@ -57,9 +57,14 @@ def test_command_line_run(spark, scratch):
         )
     rows = main(
         ["--data-dir", data, "--out", os.path.join(scratch, "out"), "--exports", os.path.join(scratch, "rep"),
-         "--price-mode", "correct", "--impute-orderdate"],
+         "--price-mode", "correct", "--impute-orderdate", "--checks"],
         spark=spark,
     )
     assert rows["publish_orders"] == rows["raw_sales_order_detail"] > 0
     assert rows["analysis_top_color_by_year"] > 0
     assert os.path.isdir(os.path.join(scratch, "rep", "analysis_avg_lead_by_category.csv"))
+    quality = os.path.join(scratch, "out", "quality")
+    checks = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "order_checks")).collect()}
+    assert checks["join_row_change"] == 0 and checks["required_columns"] == 0
+    edges = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "lead_time_edges")).collect()}
+    assert all(v == 0 for v in edges.values())

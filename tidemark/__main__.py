@@ -36,6 +36,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--exports", default=None, help="folder for CSV reports (optional)")
     p.add_argument("--price-mode", choices=[m.value for m in PriceMode], default=PriceMode.SPEC.value)
     p.add_argument("--impute-orderdate", action="store_true", help="month-only OrderDate -> ShipDate - 7 days")
+    p.add_argument("--checks", action="store_true", help="write integrity checks to the quality layer")
     return p.parse_args(argv)
 
 
@@ -48,7 +49,7 @@ def main(argv=None, spark=None) -> dict:
     base = args.data_dir.rstrip("/")
     raw = RawTables(**{k: read_raw_csv(spark, f"{base}/{f}") for k, f in INPUT_FILES.items()})
     options = PipelineOptions(price_mode=args.price_mode, impute_orderdate=args.impute_orderdate)
-    result = run(spark, raw, Layout(args.out), options, export_dir=args.exports)
+    result = run(spark, raw, Layout(args.out), options, export_dir=args.exports, checks=args.checks)
     print(json.dumps({"rows": result.rows, "seconds": result.seconds}))
     return result.rows
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.analysis import formula_comparison, money_sum, top_by_group
+from tidemark.operators.quality import lead_time_edges, order_checks
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions
 from tidemark.sources.csv import write_single_csv
@@ -93,6 +94,7 @@ def run(
     export_dir: "str | None" = None,
     max_broadcast_rows: "int | None" = None,
     concurrent_jobs: int = 3,
+    checks: bool = False,
 ) -> RunResult:
     """Write every layer under ``layout``; optionally export CSV reports.
 
@@ -102,6 +104,9 @@ def run(
     Independent chains (product, order lines, order headers; then the
     exports) are submitted as concurrent Spark jobs from ``concurrent_jobs``
     driver threads, so one job's small tail stages overlap another's work.
+
+    With ``checks``, the whole-table integrity checks of the published orders
+    (``order_checks``, ``lead_time_edges``) are written to the quality layer.
     """
     res = RunResult()
     lock = threading.Lock()
@@ -146,6 +151,15 @@ def run(
         finally:
             groups.unpersist()
 
+        if checks:
+            required = (R.LEAD, R.PRICE, R.FREIGHT_OUT)
+            fq = [
+                pool.submit(put, "quality", "order_checks", order_checks(orders, store_detail, required=required)),
+                pool.submit(put, "quality", "lead_time_edges", lead_time_edges(orders)),
+            ]
+            for f in fq:
+                f.result()
+
         if export_dir:
             t0 = time.perf_counter()
             base = export_dir.rstrip("/")

@@ -1,4 +1,5 @@
-"""Layered datasets (raw -> store -> publish) stored as Parquet under one base.
+"""Layered datasets (raw -> store -> publish, plus quality checks) stored as
+Parquet under one base.
 
 Writes count their rows with an ``Observation`` attached to the write itself,
 so a count costs no extra job.
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-LAYERS = ("raw", "store", "publish")
+LAYERS = ("raw", "store", "publish", "quality")
 
 
 @dataclass(frozen=True)
