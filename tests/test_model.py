@@ -140,7 +140,7 @@ def model(details, headers, products, impute):
             spec = None if None in (q, u, dc) else float(q) * (u - dc)
             color, cat = pub.get(d["ProductID"], (None, None)) if d["ProductID"] is not None else (None, None)
             lines.append(dict(d, OrderDate=o, lead=lead, spec=spec, year=o.year if o else None, color=color, cat=cat))
-    return lines
+    return lines, hdr, pub
 
 
 def money(x):
@@ -170,7 +170,17 @@ def test_pipeline_matches_model(spark, details, headers, products, impute):
         ),
     )
     layers = R.build(raw, PipelineOptions(impute_orderdate=impute), product_row_bound=len(products))
-    lines = model(details, headers, products, impute)
+    lines, hdr, pub = model(details, headers, products, impute)
+
+    # typed headers and the published product table
+    got_h = [
+        (r.SalesOrderID, r.OrderDate, r.ShipDate, r.OnlineOrderFlag, r.Freight)
+        for r in layers.store_header.collect()
+    ]
+    want_h = [(h["SalesOrderID"], h["OrderDate"], h["ShipDate"], h["OnlineOrderFlag"], h["Freight"]) for h in hdr]
+    assert sorted(map(repr, got_h)) == sorted(map(repr, want_h))
+    got_p = {r.ProductID: (r.Color, r.ProductCategoryName) for r in layers.publish_product.collect()}
+    assert got_p == pub
 
     got = [
         (r.SalesOrderID, r.SalesOrderDetailID, r.LeadTimeInBusinessDays, r.TotalLineExtendedPrice)
