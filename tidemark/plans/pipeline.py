@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.analysis import formula_comparison, money_sum, top_by_group
+from tidemark.operators.analysis import formula_comparison
 from tidemark.operators.quality import lead_time_edges, order_checks
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions
@@ -56,36 +56,6 @@ class RunResult:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-def grouped_answers(lines: DataFrame) -> DataFrame:
-    """Both analysis aggregates in one pass.
-
-    ``GROUPING SETS ((OrderYear, Color), (ProductCategoryName))``: one scan,
-    one shuffle. ``grouping_id`` tells the two sets apart, so NULL years,
-    colours and categories stay ordinary group values. The result is small
-    (years x colours + categories rows).
-    """
-    return lines.groupingSets(
-        [["OrderYear", "Color"], ["ProductCategoryName"]],
-        "OrderYear",
-        "Color",
-        "ProductCategoryName",
-    ).agg(
-        F.grouping_id().alias("_gid"),
-        money_sum(R.PRICE).alias("Revenue"),
-        F.avg(R.LEAD).alias("AvgLeadTimeInBusinessDays"),
-    )
-
-
-def split_answers(g: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(top colour per year, mean lead time per category) from
-    :func:`grouped_answers`."""
-    # _gid bits follow the listed columns: (year, colour) set -> 0b001, category set -> 0b110.
-    revenue = g.filter(F.col("_gid") == 1).select("OrderYear", "Color", "Revenue")
-    top = top_by_group(revenue, ["OrderYear"], "Color", "Revenue", n=1)
-    lead = g.filter(F.col("_gid") == 6).select("ProductCategoryName", "AvgLeadTimeInBusinessDays")
-    return top, lead
-
-
 def run(
     spark: SparkSession,
     raw: R.RawTables,
@@ -141,11 +111,11 @@ def run(
         product = fp.result()
 
         lines = R.orders_with_product(orders, product, res.rows["publish_product"], max_broadcast_rows)
-        groups = grouped_answers(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        groups = R.grouped_answers(lines).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Sequential on purpose: the first write computes and caches the
             # shared aggregate, the second reads the cache (one pass in total).
-            top, lead = split_answers(groups)
+            top, lead = R.split_answers(groups)
             top = put("publish", "analysis_top_color_by_year", top)
             lead = put("publish", "analysis_avg_lead_by_category", lead)
         finally:

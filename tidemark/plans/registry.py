@@ -19,13 +19,7 @@ from tidemark.operators.typing import apply_roles, rejected_values
 from tidemark.plans import oracle
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions, PriceMode
-from tidemark.plans.pipeline import (
-    SAMPLE_FORMULA_COLUMNS,
-    SAMPLE_ORDER_COLUMNS,
-    grouped_answers,
-    sorted_sample,
-    split_answers,
-)
+from tidemark.plans.pipeline import SAMPLE_FORMULA_COLUMNS, SAMPLE_ORDER_COLUMNS, sorted_sample
 from tidemark.plans.retail import RawTables
 from tidemark.sources.tpch_roles import product_row_bound, raw_tables
 
@@ -171,7 +165,7 @@ def _coverage(options):
 
 def _one_pass(which: int):
     def q(spark, sf_dir):
-        return split_answers(grouped_answers(_layers(spark, sf_dir, product_join=True).orders_with_product))[which]
+        return _layers(spark, sf_dir, product_join=True).answers()[which]
 
     return q
 

@@ -19,7 +19,7 @@ from tidemark.functions.calendar import business_days
 from tidemark.functions.cleanse import Role, repaired_timestamp
 from tidemark.functions.enrich import MISSING_COLOR, category_from_rules, fill_blank, is_blank
 from tidemark.functions.pricing import line_price_amount, line_price_rate, official_price, pct_gap
-from tidemark.operators.analysis import mean_by, revenue_by, top_by_group
+from tidemark.operators.analysis import mean_by, money_sum, revenue_by, top_by_group
 from tidemark.operators.joins import join_dimension, lines_with_header
 from tidemark.operators.keyed import keep_first_by_preference
 from tidemark.operators.typing import apply_roles
@@ -187,6 +187,36 @@ def avg_lead_by_category(lines: DataFrame) -> DataFrame:
     return mean_by(lines, ["ProductCategoryName"], LEAD, out="AvgLeadTimeInBusinessDays")
 
 
+def grouped_answers(lines: DataFrame) -> DataFrame:
+    """Both analysis aggregates in one pass.
+
+    ``GROUPING SETS ((OrderYear, Color), (ProductCategoryName))``: one scan,
+    one shuffle. ``grouping_id`` tells the two sets apart, so NULL years,
+    colours and categories stay ordinary group values. The result is small
+    (years x colours + categories rows).
+    """
+    return lines.groupingSets(
+        [["OrderYear", "Color"], ["ProductCategoryName"]],
+        "OrderYear",
+        "Color",
+        "ProductCategoryName",
+    ).agg(
+        F.grouping_id().alias("_gid"),
+        money_sum(PRICE).alias("Revenue"),
+        F.avg(LEAD).alias("AvgLeadTimeInBusinessDays"),
+    )
+
+
+def split_answers(g: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(top colour per year, mean lead time per category) from
+    :func:`grouped_answers`."""
+    # _gid bits follow the listed columns: (year, colour) set -> 0b001, category set -> 0b110.
+    revenue = g.filter(F.col("_gid") == 1).select("OrderYear", "Color", "Revenue")
+    top = top_by_group(revenue, ["OrderYear"], "Color", "Revenue", n=1)
+    lead = g.filter(F.col("_gid") == 6).select("ProductCategoryName", "AvgLeadTimeInBusinessDays")
+    return top, lead
+
+
 # ------------------------------------------------------------------ assembly
 
 
@@ -233,6 +263,11 @@ class Layers:
     def avg_lead_by_category(self) -> DataFrame:
         return avg_lead_by_category(self.orders_with_product)
 
+    def answers(self) -> tuple[DataFrame, DataFrame]:
+        """(top colour per year, mean lead per category) from one
+        grouping-sets pass; persist the shared aggregate when both are used."""
+        return split_answers(grouped_answers(self.orders_with_product))
+
 
 def build(raw: RawTables, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None) -> Layers:
     """All layers as lazy DataFrames from the raw tables (see :class:`Layers`)."""
