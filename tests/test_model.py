@@ -151,6 +151,7 @@ def money(x):
 @settings(
     max_examples=12,
     deadline=None,
+    derandomize=True,
     phases=[Phase.explicit, Phase.reuse, Phase.generate],
     suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
