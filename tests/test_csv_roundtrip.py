@@ -68,3 +68,5 @@ def test_command_line_run(spark, scratch):
     assert checks["join_row_change"] == 0 and checks["required_columns"] == 0
     edges = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "lead_time_edges")).collect()}
     assert all(v == 0 for v in edges.values())
+    answers = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "analysis_checks")).collect()}
+    assert answers == {"analysis_top_color_by_year_nonempty": 0, "analysis_avg_lead_by_category_nonempty": 0}

@@ -24,7 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.analysis import formula_comparison
+from tidemark.operators.analysis import formula_comparison, row_counts
 from tidemark.operators.quality import lead_time_edges, order_checks
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions
@@ -76,7 +76,8 @@ def run(
     driver threads, so one job's small tail stages overlap another's work.
 
     With ``checks``, the whole-table integrity checks of the published orders
-    (``order_checks``, ``lead_time_edges``) are written to the quality layer.
+    (``order_checks``, ``lead_time_edges``) and the non-empty checks of the
+    answers (``analysis_checks``) are written to the quality layer.
     """
     res = RunResult()
     lock = threading.Lock()
@@ -123,9 +124,16 @@ def run(
 
         if checks:
             required = (R.LEAD, R.PRICE, R.FREIGHT_OUT)
+            answers = row_counts({"analysis_top_color_by_year": top, "analysis_avg_lead_by_category": lead})
+            nonempty = answers.select(
+                F.concat(F.col("dataset"), F.lit("_nonempty")).alias("check"),
+                F.when(F.col("rows") == 0, 1).otherwise(0).cast("long").alias("violations"),
+                F.col("rows").alias("checked"),
+            )
             fq = [
                 pool.submit(put, "quality", "order_checks", order_checks(orders, store_detail, required=required)),
                 pool.submit(put, "quality", "lead_time_edges", lead_time_edges(orders)),
+                pool.submit(put, "quality", "analysis_checks", nonempty),
             ]
             for f in fq:
                 f.result()
