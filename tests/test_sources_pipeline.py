@@ -88,3 +88,13 @@ def test_price_mode_switch(spark):
     corr = R.publish_orders(sd, sh, PipelineOptions(price_mode="correct"))
     assert spec.filter(~F.col("TotalLineExtendedPrice").eqNullSafe(F.col("TotalLineExtendedPrice_Spec"))).count() == 0
     assert corr.filter(~F.col("TotalLineExtendedPrice").eqNullSafe(F.col("TotalLineExtendedPrice_Correct"))).count() == 0
+
+
+def test_partitioned_parquet_write(spark, scratch):
+    path = os.path.join(scratch, "by_year")
+    df = spark.range(10).select((2020 + F.col("id") % 3).alias("OrderYear"), F.col("id"))
+    assert write_parquet(df, path, partition_by=("OrderYear",)) == 10
+    assert sorted(d for d in os.listdir(path) if d.startswith("OrderYear=")) == [
+        "OrderYear=2020", "OrderYear=2021", "OrderYear=2022"
+    ]
+    assert spark.read.parquet(path).filter(F.col("OrderYear") == 2021).count() == 3
