@@ -145,7 +145,11 @@ def run(
                 (top, "analysis_top_color_by_year.csv", ["OrderYear"]),
                 (lead, "analysis_avg_lead_by_category.csv", ["ProductCategoryName"]),
                 (sorted_sample(orders, SAMPLE_ORDER_COLUMNS, 10), "sample_publish_orders.csv", SAMPLE_ORDER_COLUMNS),
-                (sorted_sample(orders, SAMPLE_FORMULA_COLUMNS, 100), "formula_comparison_sample.csv", SAMPLE_FORMULA_COLUMNS),
+                (
+                    sorted_sample(orders, SAMPLE_FORMULA_COLUMNS, 100),
+                    "formula_comparison_sample.csv",
+                    SAMPLE_FORMULA_COLUMNS,
+                ),
                 (formula_comparison(orders, R.PRICE_SPEC, R.PRICE_CORRECT, R.PRICE_GAP), "formula_comparison.csv", []),
             ]
             for f in [pool.submit(write_single_csv, df, f"{base}/{name}", keys) for df, name, keys in jobs]:

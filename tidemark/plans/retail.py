@@ -269,6 +269,8 @@ class Layers:
         return split_answers(grouped_answers(self.orders_with_product))
 
 
-def build(raw: RawTables, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None) -> Layers:
+def build(
+    raw: RawTables, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None
+) -> Layers:
     """All layers as lazy DataFrames from the raw tables (see :class:`Layers`)."""
     return Layers(raw, options, product_row_bound)

@@ -14,7 +14,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(app: str = "tidemark", cores: "int | str" = "*", shuffle_partitions: int | None = None) -> SparkSession:
+def local_session(
+    app: str = "tidemark", cores: "int | str" = "*", shuffle_partitions: "int | None" = None
+) -> SparkSession:
     n = (os.cpu_count() or 8) if cores == "*" else int(cores)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

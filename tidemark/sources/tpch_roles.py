@@ -99,7 +99,9 @@ def raw_detail(lineitem: DataFrame) -> DataFrame:
         F.when(F.pmod(k, F.lit(211)) == 0, F.lit("n/a"))
         .otherwise(_text(F.col("l_discount") + F.lit(0.0)))
         .alias("UnitPriceDiscount"),
-        F.concat(F.lit(" "), F.col("l_returnflag"), F.col("l_linestatus"), F.lit("-"), _text(F.col("l_suppkey")), F.lit(" "))
+        F.concat(
+            F.lit(" "), F.col("l_returnflag"), F.col("l_linestatus"), F.lit("-"), _text(F.col("l_suppkey")), F.lit(" ")
+        )
         .alias("CarrierTrackingNumber"),
     )
 
@@ -110,7 +112,9 @@ def raw_header(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     od = F.col("o_orderdate")
     return o.select(
-        F.when(F.pmod(k, F.lit(13)) == 0, F.concat(F.lit(" "), _text(k), F.lit(" "))).otherwise(_text(k)).alias("SalesOrderID"),
+        F.when(F.pmod(k, F.lit(13)) == 0, F.concat(F.lit(" "), _text(k), F.lit(" ")))
+        .otherwise(_text(k))
+        .alias("SalesOrderID"),
         F.when(F.pmod(k, F.lit(97)) == 0, F.substring(_day_text(od), 1, 7))
         .when(F.pmod(k, F.lit(7)) == 0, _day_text(od))
         .otherwise(_ts_text(od))
@@ -145,13 +149,18 @@ def raw_products(part: DataFrame) -> DataFrame:
         F.when(F.pmod(k, F.lit(4)) < len(REORDER_TEXTS), _cycle(k, REORDER_TEXTS, modulus=4))
         .otherwise(_text(size * 3))
         .alias("ReorderPoint"),
-        F.when(F.pmod(size, F.lit(10)) == 0, F.lit("")).otherwise(F.concat(_text(size), F.lit(".75"))).alias("StandardCost"),
+        F.when(F.pmod(size, F.lit(10)) == 0, F.lit(""))
+        .otherwise(F.concat(_text(size), F.lit(".75")))
+        .alias("StandardCost"),
         _text(F.col("p_retailprice")).alias("ListPrice"),
         _text(size).alias("Size"),
         F.lit("CM ").alias("SizeUnitMeasureCode"),
         F.concat(_text(size), F.lit("e-1")).alias("Weight"),
         F.lit("LB").alias("WeightUnitMeasureCode"),
-        F.when(F.pmod(k, F.lit(3)) == 0, F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string")).otherwise(F.lit("  ")))
+        F.when(
+            F.pmod(k, F.lit(3)) == 0,
+            F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string")).otherwise(F.lit("  ")),
+        )
         .otherwise(F.col("p_type"))
         .alias("ProductCategoryName"),
         _subcategory(name, k).alias("ProductSubCategoryName"),
@@ -172,7 +181,9 @@ def raw_products(part: DataFrame) -> DataFrame:
         F.lit("CM ").alias("SizeUnitMeasureCode"),
         F.lit(None).cast("string").alias("Weight"),
         F.lit("LB").alias("WeightUnitMeasureCode"),
-        F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string")).otherwise(F.lit("Legacy")).alias("ProductCategoryName"),
+        F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string"))
+        .otherwise(F.lit("Legacy"))
+        .alias("ProductCategoryName"),
         _subcategory(name, k).alias("ProductSubCategoryName"),
     )
     return current.unionByName(older)
