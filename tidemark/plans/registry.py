@@ -47,17 +47,17 @@ def _raw(spark: SparkSession, sf_dir: str) -> RawTables:
 # ---------------------------------------------------------------- store layer
 
 
-def q_clean_strings(spark, sf_dir):
+def q_clean_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = apply_roles(_raw(spark, sf_dir).products, R.PRODUCT_ROLES)
     return typed.select("ProductID", "ProductDesc", "Color", "ProductCategoryName", "ProductSubCategoryName")
 
 
-def q_typed_cast(spark, sf_dir):
+def q_typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = apply_roles(_raw(spark, sf_dir).products, R.PRODUCT_ROLES)
     return typed.select("ProductID", "SafetyStockLevel", "ReorderPoint", "StandardCost", "ListPrice", "Weight")
 
 
-def q_parse_flags(spark, sf_dir):
+def q_parse_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     prod = raw.products.select(F.lit("MakeFlag").alias("flag_column"), F.col("MakeFlag").alias("raw_text"))
     head = raw.header.select(F.lit("OnlineOrderFlag").alias("flag_column"), F.col("OnlineOrderFlag").alias("raw_text"))
@@ -67,40 +67,40 @@ def q_parse_flags(spark, sf_dir):
     )
 
 
-def q_product_rejects(spark, sf_dir):
+def q_product_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_values(_raw(spark, sf_dir).products, R.PRODUCT_ROLES)
 
 
-def q_header_rejects(spark, sf_dir):
+def q_header_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     # OrderDate has its own repair rule (see incomplete_dates / orderdate_*).
     roles = {c: r for c, r in R.HEADER_ROLES.items() if c != "OrderDate"}
     return rejected_values(_raw(spark, sf_dir).header, roles)
 
 
-def q_detail_rejects(spark, sf_dir):
+def q_detail_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_values(_raw(spark, sf_dir).detail, R.DETAIL_ROLES)
 
 
-def q_incomplete_dates(spark, sf_dir):
+def q_incomplete_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir).header.agg(
         F.count_if(is_incomplete_date("OrderDate")).alias("incomplete_orderdates"),
         F.count(F.lit(1)).alias("header_rows"),
     )
 
 
-def _header_dates(options):
-    def q(spark, sf_dir):
+def _header_dates(options: PipelineOptions) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         sh = R.store_header(_raw(spark, sf_dir).header, options)
         return sh.select("SalesOrderID", "OrderDate", "ShipDate")
 
     return q
 
 
-def q_dedupe_keep_populated(spark, sf_dir):
+def q_dedupe_keep_populated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.store_products(_raw(spark, sf_dir).products)
 
 
-def q_duplicate_profile(spark, sf_dir):
+def q_duplicate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = apply_roles(_raw(spark, sf_dir).products, R.PRODUCT_ROLES)
     return analysis.duplicate_profile(typed, "ProductID")
 
@@ -108,15 +108,15 @@ def q_duplicate_profile(spark, sf_dir):
 # -------------------------------------------------------------- publish layer
 
 
-def q_publish_product(spark, sf_dir):
+def q_publish_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layers(spark, sf_dir).publish_product
 
 
-def _publish_orders(options):
+def _publish_orders(options: PipelineOptions) -> Query:
     return lambda spark, sf_dir: _layers(spark, sf_dir, options).publish_orders
 
 
-def q_business_days(spark, sf_dir):
+def q_business_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     po = _layers(spark, sf_dir).publish_orders
     return po.select(
         "SalesOrderID", "SalesOrderDetailID", F.col("OrderDate").cast("date").alias("order_day"),
@@ -124,11 +124,11 @@ def q_business_days(spark, sf_dir):
     )
 
 
-def q_lead_time_edges(spark, sf_dir):
+def q_lead_time_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.lead_time_edges(_layers(spark, sf_dir).publish_orders)
 
 
-def q_price_diff(spark, sf_dir):
+def q_price_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     po = _layers(spark, sf_dir).publish_orders
     return po.select("SalesOrderID", "SalesOrderDetailID", R.PRICE_SPEC, R.PRICE_CORRECT, R.PRICE_GAP)
 
@@ -136,7 +136,7 @@ def q_price_diff(spark, sf_dir):
 # ------------------------------------------------------------------- analysis
 
 
-def q_orders_with_product(spark, sf_dir):
+def q_orders_with_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     owp = _layers(spark, sf_dir, product_join=True).orders_with_product
     return owp.select(
         "SalesOrderID", "SalesOrderDetailID", "ProductID", "Color", "ProductCategoryName",
@@ -144,42 +144,42 @@ def q_orders_with_product(spark, sf_dir):
     )
 
 
-def q_revenue_by_year_color(spark, sf_dir):
+def q_revenue_by_year_color(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.revenue_by_year_color(_layers(spark, sf_dir, product_join=True).orders_with_product)
 
 
-def _top_color(options):
+def _top_color(options: PipelineOptions) -> Query:
     return lambda spark, sf_dir: _layers(spark, sf_dir, options, product_join=True).top_color_by_year
 
 
-def _avg_lead(options):
+def _avg_lead(options: PipelineOptions) -> Query:
     return lambda spark, sf_dir: _layers(spark, sf_dir, options, product_join=True).avg_lead_by_category
 
 
-def _coverage(options):
-    def q(spark, sf_dir):
+def _coverage(options: PipelineOptions) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return analysis.coverage(_layers(spark, sf_dir, options).publish_orders, R.LEAD)
 
     return q
 
 
-def _one_pass(which: int):
-    def q(spark, sf_dir):
+def _one_pass(which: int) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _layers(spark, sf_dir, product_join=True).answers()[which]
 
     return q
 
 
-def q_formula_comparison(spark, sf_dir):
+def q_formula_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     po = _layers(spark, sf_dir).publish_orders
     return analysis.formula_comparison(po, R.PRICE_SPEC, R.PRICE_CORRECT, R.PRICE_GAP)
 
 
-def q_sample_orders(spark, sf_dir):
+def q_sample_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_sample(_layers(spark, sf_dir).publish_orders, SAMPLE_ORDER_COLUMNS, 10)
 
 
-def q_sample_formulas(spark, sf_dir):
+def q_sample_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_sample(_layers(spark, sf_dir).publish_orders, SAMPLE_FORMULA_COLUMNS, 100)
 
 
@@ -187,19 +187,19 @@ def q_sample_formulas(spark, sf_dir):
 REQUIRED_ORDER_COLUMNS = ("LeadTimeInBusinessDays", "TotalLineExtendedPrice", "TotalOrderFreight")
 
 
-def q_dq_checks(spark, sf_dir):
+def q_dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = _layers(spark, sf_dir)
     return quality.order_checks(L.publish_orders, L.store_detail, required=REQUIRED_ORDER_COLUMNS)
 
 
-def q_orphan_lines(spark, sf_dir):
+def q_orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = _layers(spark, sf_dir)
     no_header = joins.orphans(L.store_detail, L.store_header, R.ORDER_KEY)
     no_product = joins.orphans(L.store_detail, L.publish_product, R.PRODUCT_KEY)
     return analysis.row_counts({"lines_without_header": no_header, "lines_without_product": no_product})
 
 
-def q_row_counts(spark, sf_dir):
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     L = _layers(spark, sf_dir)
     return analysis.row_counts(
@@ -261,7 +261,7 @@ def _with(body: str, options: PipelineOptions = DEFAULT) -> str:
     return oracle.prelude(options) + body
 
 
-def _oracle_top_color(options):
+def _oracle_top_color(options: PipelineOptions) -> str:
     return _with(
         f"""
 , rev AS (SELECT OrderYear, Color, {oracle.money_sum('TotalLineExtendedPrice')} AS Revenue
@@ -274,7 +274,7 @@ SELECT OrderYear, Color, Revenue FROM (
     )
 
 
-def _oracle_avg_lead(options):
+def _oracle_avg_lead(options: PipelineOptions) -> str:
     return _with(
         """
 SELECT ProductCategoryName, avg(LeadTimeInBusinessDays) AS AvgLeadTimeInBusinessDays
@@ -283,7 +283,7 @@ FROM orders_with_product GROUP BY ProductCategoryName""",
     )
 
 
-def _oracle_coverage(options):
+def _oracle_coverage(options: PipelineOptions) -> str:
     return _with(
         """
 SELECT count(LeadTimeInBusinessDays) AS rows_with_value, count(*) AS total_rows,
