@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import curve_packing, record_files, simhash
+from tidemark.llm import (
+    curve_packing,
+    hnsw,
+    host_reputation,
+    kneser_ney,
+    piece_codec,
+    quality_rules,
+    record_files,
+    rendezvous,
+    simhash,
+    warc,
+)
 from tidemark.llm.common import ship_package
+from tidemark.llm.host_reputation import UrlRule
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +28,53 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judge(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(_table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rendezvous.assign_shards(_table(spark, sf_dir, "documents"), weights=[1.0] * 8, grown=[1.0] * 9)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.archive(_table(spark, sf_dir, "pages"))
+    return rows.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kneser_ney.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "lang", "n", "perplexity", "threshold", "kept")
+
+
+#: Rules of the contract.
+URL_RULES = [
+    UrlRule("com", "/", "allow"),
+    UrlRule("example.com", "/en/", "block"),
+    UrlRule("www.example.com", "/en/", "allow"),
+    UrlRule("net", "/es/", "block"),
+    UrlRule("net", "/fr/", "block"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of the document of its number: good if it is of quality and not toxic."""
+    good = F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).when(F.col("quality").isNotNull(), 0)
+    outcomes = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), good.alias("good"))
+    return host_reputation.judge_urls(_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+
+
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded and decoded again: token count and checksum of the ids, and checksum of the decoded text."""
+    rows = piece_codec.decode(piece_codec.encode(_table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), F.crc32("text").alias("text_crc32"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.simhash_components(_table(spark, sf_dir, "documents"), width=3, distance=3)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -32,9 +91,73 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_sharding": op3_sharding,
+    "op4_warc": op4_warc,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_url_filter": op6_url_filter,
+    "op7_pieces": op7_pieces,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_records": op10_records,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: DuckDB SQL for the rows of the queries that SQL can express.
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+        with p as (
+            select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as k, sha1(coalesce(html, '')) as digest from pages
+        ), w as (select k, n, max(page_id) as w from p where n >= 1000 group by k, n)
+        select page_id, n::bigint as payload_bytes, digest as payload_digest,
+            case when w is null or w = page_id then 'response' else 'revisit' end as record_type,
+            case when w <> page_id then w end as refers_to
+        from p left join w using (k, n)
+    """,
+    "op6_url_filter": """
+        with p as (
+            select page_id,
+                coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+                coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path
+            from pages
+        ), l as (
+            select doc_id, min(case when quality = 1 and coalesce(toxic, 0) = 0 then 1 when quality is not null then 0 end) as good
+            from labels where doc_id is not null group by doc_id
+        ), h as (
+            select host, count(good) as n, coalesce(sum(good), 0) as good,
+                array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain, string_split(host, '.')[-1] as suffix
+            from p left join l on doc_id = page_id group by host
+        ), d as (select domain, suffix, sum(n) as n, sum(good) as good from h group by all),
+        s as (select suffix, sum(n) as n, sum(good) as good from d group by all),
+        g as (select (sum(good) + 1.0) / (sum(n) + 2.0) as prior from s),
+        m as (
+            select unit, count(*)::double as m, sum(n)::double as pages, sum(good)::double as good, sum(n::double * n) as nn, sum(good::double * good / n) as gg
+            from (select 's' as unit, n, good from s union all select 'd', n, good from d union all select 'h', n, good from h)
+            where n > 0 group by unit
+        ), r as (
+            select *, good / pages * (1 - good / pages) as within, pages - nn / pages - (m - 1) as spare, gg - good * good / pages as spread from m
+        ), k0 as (
+            select unit, case when m > 1 and good > 0 and good < pages and spare > 0 and spread > within * (m - 1)
+                then (spread - within * (m - 1)) / (within * spare) end as rho from r
+        ), k as (
+            select u.unit, case when rho > 0 then greatest(1.0, least(10000.0, (1 - rho) / rho)) else 10000.0 end as k
+            from (values ('s'), ('d'), ('h')) u(unit) left join k0 using (unit)
+        ), sm as (select suffix, (good + k * prior) / (n + k) as mean from s, g, k where unit = 's'),
+        dm as (select domain, (good + k * mean) / (n + k) as mean from d join sm using (suffix), k where unit = 'd'),
+        ab as (select host, good + k * mean as a, n - good + k * (1 - mean) as b from h join dm using (domain), k where unit = 'h'),
+        bounds as (select host, a / (a + b) + 1.645 * sqrt(a * b / (a + b) / (a + b) / (a + b + 1)) as bound from ab),
+        j as (
+            select page_id, host, path, bound, case
+                when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+                when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+                when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+                when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+                when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule
+            from p join bounds using (host)
+        )
+        select page_id, host, path, rule, case
+            when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
+            when bound < 0.5 then 'block' else 'allow' end as verdict
+        from j
+    """,
+}
