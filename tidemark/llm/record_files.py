@@ -2,8 +2,8 @@
 
 A record is framed as: length (unsigned 64-bit), masked CRC-32C of these eight
 bytes, payload, masked CRC-32C of the payload; all numbers little-endian. The
-payload is a flag (1 if the document has an id), the id (signed 64-bit) and the
-token ids (unsigned 32-bit).
+payload is a flag word (bit 0: the document has an id; bit 1: wide ids), the id
+(signed 64-bit) and the token ids, unsigned 32-bit if wide, else 16-bit.
 """
 
 from __future__ import annotations
@@ -139,6 +139,19 @@ def unframed(buffer: bytes) -> tuple[list[bytes], int]:
     return payloads, at
 
 
+def payload(doc_id: int | None, ids: bytes) -> bytes:
+    """A record's payload; ``ids`` are little-endian unsigned 32-bit."""
+    numbers = np.frombuffer(ids, dtype="<u4")
+    wide = bool(len(numbers)) and int(numbers.max()) >= 1 << 16
+    return struct.pack(HEAD, (doc_id is not None) | wide << 1, doc_id or 0) + (ids if wide else numbers.astype("<u2").tobytes())
+
+
+def from_payload(payload: bytes) -> tuple[int | None, bytes]:
+    flags, doc_id = struct.unpack_from(HEAD, payload)
+    ids = payload[HEAD_BYTES:]
+    return doc_id if flags & 1 else None, ids if flags & 2 else np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
 
@@ -173,10 +186,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str | None = None, en
             for part in slices(batch):
                 if not part.num_rows:
                     continue
-                out = out or store.open_output_stream(draft, buffer_size=1 << 20)
+                out = out or store.open_output_stream(draft, compression=None, buffer_size=1 << 20)
                 ids = part.column("doc_id").to_pylist()
-                bodies = [words.ids(t.as_py()) + end for t in part.column("text")]
-                framed = frames([struct.pack(HEAD, k is not None, k or 0) + b for k, b in zip(ids, bodies)])
+                bodies = [x + end for x in words.ids_of(part.column("text").to_pylist())]
+                framed = frames([payload(k, b) for k, b in zip(ids, bodies)])
                 sizes = np.array([len(f) for f in framed], dtype=np.int64)
                 out.write(b"".join(framed))
                 offsets = at + np.cumsum(sizes) - sizes
@@ -208,13 +221,13 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str | None = None, en
 
 
 def _payload_rows(payloads: list[bytes], first: int, before: int) -> pa.RecordBatch:
-    heads = [struct.unpack_from(HEAD, p) for p in payloads]
-    ids = [p[HEAD_BYTES :] for p in payloads]
+    found = [from_payload(p) for p in payloads]
+    ids = [x for _, x in found]
     counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.arange(first, first + len(ids))),
-            pa.array([k if has else None for has, k in heads], pa.int64()),
+            pa.array([k for k, _ in found], pa.int64()),
             pa.array(before + np.cumsum(counts) - counts),
             pa.array(counts),
             pa.array(ids, pa.binary()),
@@ -246,7 +259,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for number, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ordinal, held = 0, b""
-                with store.open_input_stream(f"{base}/records/part-{number:06d}.rec") as source:
+                with store.open_input_stream(f"{base}/records/part-{number:06d}.rec", compression=None) as source:
                     while block := source.read(max(READ_BYTES, len(held))):
                         held += block
                         payloads, used = unframed(held)
