@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 
 #: Words whose ids a Python worker remembers; the cache starts anew when it is full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: Words that go to the library at once.
+BATCH_WORDS = 4000
+#: Marks that a tokenizer takes as a token run of their own behind letters.
+MARKS = ".,;:!?"
 #: Longer words are encoded each time.
 CACHE_CHARS = 64
 
@@ -34,29 +39,88 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
+        marks = [(k, t.content) for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized and not t.lstrip and not t.rstrip]
+        self.mark = max(marks, default=None)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[k for w, k in vocabulary.items() if w.endswith(suffix)]] = True
         probe = "It's 12 o'clock,\n\tnot  13! Ça va? x́ y"
         if self.ids(probe) != self._raw([probe])[0]:
             raise ValueError(f"{path}: tokens cross white space; words cannot be encoded alone")
+        probe_words = ["word", "Ça", "İi", "end.", "why?", "x!", "don't", "12,", "ﬁne;", "a-b"]
+        if self._words(probe_words) != self._raw(probe_words):
+            self.ends = None  # runs of letters do not end in such tokens
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from few calls of the library, which has a high price per call."""
+        easy: list[str] = []
+        other: list[str] = []
+        ends: list[int] = []
+        for w in words if self.ends is not None else ():
+            if w.lower().isalpha():
+                ends.append(1)
+            elif w[-1] in MARKS and w[:-1].lower().isalpha():
+                ends.append(2)
+            else:
+                other.append(w)
+                continue
+            easy.append(w)
+        known = dict(zip(easy, self._spaced(easy, ends))) if easy else {}
+        left = other if easy else words
+        known.update(zip(left, self._marked(left)))
+        return [known[w] for w in words]
+
+    def _spaced(self, words: list[str], ends: list[int]) -> list[bytes]:
+        """Words that are one run of letters, or one and a mark, as one text: each has one or two tokens that end a run."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.flatnonzero(self.ends[ids])
+        last = np.cumsum(ends)
+        if len(at) != last[-1]:
+            return self._marked(words)
+        line, stops = ids.tobytes(), (4 * (at[last - 1] + 1)).tolist()
+        return [line[i:j] for i, j in zip([0, *stops[:-1]], stops)]
+
+    def _marked(self, words: list[str]) -> list[bytes]:
+        """Any words as one text with a special token between them, which cuts it there."""
+        if self.mark and len(words) > 1:
+            number, mark = self.mark
+            ids = np.array(self.tokenizer.encode_batch_fast([mark.join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == number)
+            if len(cuts) == len(words) - 1:  # no word holds the token itself
+                line, at = ids.tobytes(), (4 * cuts).tolist()
+                return [line[i:j] for i, j in zip([0, *(k + 4 for k in at)], [*at, len(line)])]
+        return self._raw(words)
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+        """Ids of a whole text as little-endian unsigned 32-bit integers."""
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the new words of all of them are encoded together."""
+        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         known = self.cache
-        new = set(words).difference(known)
+        new = set().union(*cut).difference(known)
         if new:
-            long = {w for w in new if len(w) > CACHE_CHARS}
             if len(known) + len(new) > CACHE_WORDS:
                 self.cache = known = {"": b""}
-                new = set(words) - {""}
-            short = list(new - long)
-            known.update(zip(short, self._raw(short)))
+                new = set().union(*cut) - {""}
+            long = [w for w in new if len(w) > CACHE_CHARS]
+            if long:
+                new.difference_update(long)
+            short = list(new)
+            for at in range(0, len(short), BATCH_WORDS):
+                part = short[at : at + BATCH_WORDS]
+                known.update(zip(part, self._words(part)))
             if long:
-                extra = list(long)
-                known = known | dict(zip(extra, self._raw(extra)))
-        return b"".join(map(known.__getitem__, words))
+                known = known | dict(zip(long, self._raw(long)))
+        return [b"".join(map(known.__getitem__, words)) for words in cut]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
