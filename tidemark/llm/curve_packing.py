@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,7 +62,10 @@ def hilbert_key(grid: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id, pos, n, ids`` of every row: curve position and whole token ids with the end id."""
+    """``doc_id, pos, n, wide, ids`` of every row: curve position and whole token ids with the end id.
+
+    Ids are little-endian unsigned, 32-bit if ``wide``, else 16-bit.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
@@ -71,15 +73,17 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for part in slices(batch):
-                ids = [words.ids(t.as_py()) + end for t in part.column("text")]
+                ids = [x + end for x in words.ids_of(part.column("text").to_pylist())]
                 tokens = [np.frombuffer(x, dtype="<u4") for x in ids]
                 counts = np.stack([np.bincount(t & np.uint32(FEATURES - 1), minlength=FEATURES) for t in tokens]).astype(float)
                 vectors = counts / np.linalg.norm(counts, axis=1, keepdims=True) @ matrix
                 key = hilbert_key(cells(vectors))
+                wide = [int(t.max()) >= 1 << 16 for t in tokens]
+                kept = [x if w else t.astype("<u2").tobytes() for x, t, w in zip(ids, tokens, wide)]
                 tie = part.column("tie").to_numpy() & ((1 << TIE_BITS) - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array((key << TIE_BITS) | tie), pa.array([len(t) for t in tokens], pa.int64()), pa.array(ids, pa.binary())],
-                    ["doc_id", "pos", "n", "ids"],
+                    [part.column("doc_id"), pa.array((key << TIE_BITS) | tie), pa.array([len(t) for t in tokens], pa.int64()), pa.array(wide), pa.array(kept, pa.binary())],
+                    ["doc_id", "pos", "n", "wide", "ids"],
                 )
 
     rows = docs.select(
@@ -87,7 +91,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
         F.xxhash64("doc_id", "text").alias("tie"),
     )
-    return rows.mapInArrow(run, "doc_id bigint, pos bigint, n bigint, ids binary")
+    return rows.mapInArrow(run, "doc_id bigint, pos bigint, n bigint, wide boolean, ids binary")
 
 
 def cut_points(total: int, length: int) -> np.ndarray:
@@ -165,10 +169,11 @@ def pack(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end_
                 lengths = part.column("n").to_numpy()
                 document, start, size, sequence, offset = pieces_of(at, lengths, tail, length)
                 at += int(lengths.sum())
-                ids = [x.as_buffer() for x in part.column("ids")]
-                cut = [ids[d][4 * s : 4 * (s + z)] for d, s, z in zip(document.tolist(), start.tolist(), size.tolist())]
+                kinds = ["<u4" if w else "<u2" for w in part.column("wide").to_pylist()]
+                ids = [np.frombuffer(x.as_buffer(), dtype=k) for x, k in zip(part.column("ids"), kinds)]
+                cut = [ids[d][s : s + z].astype("<u4").tobytes() for d, s, z in zip(document.tolist(), start.tolist(), size.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(document)), *(pa.array(x) for x in (start, size, lengths[document], sequence, offset)), pa.array([c.to_pybytes() for c in cut], pa.binary())],
+                    [part.column("doc_id").take(pa.array(document)), *(pa.array(x) for x in (start, size, lengths[document], sequence, offset)), pa.array(cut, pa.binary())],
                     ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
                 )
 
@@ -176,7 +181,3 @@ def pack(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end_
     return ordered.mapInArrow(
         run, "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
     )
-
-
-def ids_crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)
