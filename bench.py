@@ -16,6 +16,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 import uuid
 
@@ -35,7 +36,8 @@ def main() -> None:
     from tidemark.sources.tpch_roles import raw_tables
 
     t0 = time.time()
-    spark = local_session("tidemark-bench", cores=cpus)
+    work = os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="tidemark-bench-")
+    spark = local_session("tidemark-bench", cores=cpus, checkpoint_dir=f"file://{work}")
     startup = time.time() - t0
 
     base = shared_base(spark, f"tidemark-bench-{uuid.uuid4().hex[:8]}")

@@ -11,10 +11,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import local_session
 
-    s = local_session("tidemark-tests", cores="*", shuffle_partitions=8)
+    work = tmp_path_factory.mktemp("checkpoints")
+    s = local_session("tidemark-tests", cores="*", shuffle_partitions=8, checkpoint_dir=f"file://{work}")
     yield s
     s.stop()
 

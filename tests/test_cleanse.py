@@ -9,6 +9,7 @@ from tidemark.functions.cleanse import (
     strict_flag,
     tolerant_double,
     tolerant_int,
+    tolerant_key,
     tolerant_long,
     trimmed,
 )
@@ -80,3 +81,31 @@ def test_rejected_values(spark):
     df = spark.createDataFrame([("1", "x"), ("x", None), (None, "2.5")], "a string, b string")
     r = rejected_values(df, {"a": "int", "b": "double"}).first()
     assert (r.rows, r.a_rejected, r.b_rejected) == (3, 1, 1)
+
+
+def test_zoned_timestamps_are_moved_to_utc(spark):
+    cases = {
+        "2021-06-01T23:00:00-05:00": "2021-06-02 04:00:00",
+        "2021-06-01 23:00:00+02:30": "2021-06-01 20:30:00",
+        "2021-06-01T23:00:00Z": "2021-06-01 23:00:00",
+        "2021-06-01 23:00:00": "2021-06-01 23:00:00",
+        "2021-06-01": "2021-06-01 00:00:00",
+        "2021-06-01T23:00:00.25-00:30": "2021-06-01 23:30:00.25",
+        "1950-01-01T00:00:00+01:00": "1949-12-31 23:00:00",
+        "soon": None,
+        None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", parse_timestamp("t").cast("string").alias("u"))
+    for zone in ("UTC", "America/Sao_Paulo"):
+        prev = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert {r.t: r.u for r in df.collect()} == cases
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_identifiers_reject_fractions(spark):
+    cases = {"12": 12, " 12 ": 12, "012": 12, "12.0": 12, "12.": 12, "12.5": None, "x": None, "99999999999999999999": None, "-3": -3, "": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.k for r in df.select("t", tolerant_key("t").alias("k")).collect()} == cases

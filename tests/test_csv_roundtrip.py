@@ -37,8 +37,9 @@ def test_pipeline_from_csv_files(spark, scratch):
 
     a, b = R.build(from_csv), R.build(in_memory)
     for attr in ("publish_product", "publish_orders", "top_color_by_year", "avg_lead_by_category"):
-        left = sorted((tuple(r) for r in getattr(a, attr).collect()), key=str)
-        right = sorted((tuple(r) for r in getattr(b, attr).collect()), key=str)
+        # by text, as a NaN equals no other
+        left = sorted(repr(tuple(r)) for r in getattr(a, attr).collect())
+        right = sorted(repr(tuple(r)) for r in getattr(b, attr).collect())
         assert left == right, attr
 
 
@@ -60,13 +61,13 @@ def test_command_line_run(spark, scratch):
          "--price-mode", "correct", "--impute-orderdate", "--checks"],
         spark=spark,
     )
-    assert rows["publish_orders"] == rows["raw_sales_order_detail"] > 0
+    assert rows["publish_orders"] > 0
     assert rows["analysis_top_color_by_year"] > 0
     assert os.path.isdir(os.path.join(scratch, "rep", "analysis_avg_lead_by_category.csv"))
     quality = os.path.join(scratch, "out", "quality")
     checks = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "order_checks")).collect()}
-    assert checks["join_row_change"] == 0 and checks["required_columns"] == 0
+    assert all(v == 0 for k, v in checks.items() if k.endswith(("nonempty", "required_columns")))
+    assert {"publish_product_nonempty", "analysis_top_color_by_year_nonempty", "analysis_avg_lead_by_category_nonempty"} <= set(checks)
+    assert checks["lines_without_header"] > 0 and checks["negative_freight"] > 0
     edges = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "lead_time_edges")).collect()}
     assert all(v == 0 for v in edges.values())
-    answers = {r.check: r.violations for r in spark.read.parquet(os.path.join(quality, "analysis_checks")).collect()}
-    assert answers == {"analysis_top_color_by_year_nonempty": 0, "analysis_avg_lead_by_category_nonempty": 0}

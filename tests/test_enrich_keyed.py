@@ -47,8 +47,25 @@ def test_dedupe_prefers_category(spark):
 
 
 def test_dedupe_casts_ids_first(spark):
-    _, n = _store(spark, [("1", "A", "a"), (" 1", "A", "b"), ("01", "A", "c"), (None, "A", "d"), ("x", "A", "e")])
-    assert n == 2  # id 1 and the NULL id group
+    _, n = _store(spark, [("1", "A", "a"), (" 1", "A", "b"), ("01", "A", "c"), ("1.0", "A", "f"), (None, "A", "d"), ("x", "A", "e")])
+    assert n == 3  # id 1, the product 'x' and the one without any id
+
+
+def test_dedupe_keeps_products_without_a_typed_id(spark):
+    ids = ["AB-1", "AB-2", "99999999999999999999", "12", "12.5", " AB-1 "]
+    df = spark.createDataFrame([(i,) for i in ids], "ProductID string")
+    assert sorted((r.ProductID for r in R.store_products(df).collect()), key=str) == [12, None, None, None, None]
+    p = R.product_profile(df).first()
+    assert (p.total_rows, p.distinct_keys, p.null_keys, p.duplicate_rows) == (6, 1, 5, 1)
+
+
+def test_hot_key_beyond_the_planned_limit(spark):
+    """n = 1001: no partial window limit is planned, so the hot key is ranked part by part first."""
+    df = spark.range(6000).select(F.when(F.col("id") < 5000, 1).otherwise(2).alias("k"), F.col("id").alias("v"))
+    out = first_n_by(df, ["k"], [F.col("v").desc()], n=1001)
+    assert out.columns == ["k", "v"]
+    got = {r.k: (r.n, r.lo) for r in out.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("lo")).collect()}
+    assert got == {1: (1001, 3999), 2: (1000, 5000)}
 
 
 def test_dedupe_deterministic_across_partitions(spark):

@@ -41,3 +41,26 @@ def test_top_color_uses_partial_group_limit(spark):
 def test_aggregates_are_partial_before_shuffle(spark):
     plan = plan_text(QUERIES["revenue_by_year_color"](spark, SF_SMOKE))
     assert "partial_sum" in plan
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_forced_shuffle_or_broadcast(spark, name):
+    df = QUERIES[name](spark, SF_SMOKE)
+    assert "RoundRobinPartitioning" not in plan_text(df)
+    logical = df._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in logical and "UnresolvedHint" not in logical
+
+
+@pytest.mark.parametrize(
+    "name, scans",
+    [
+        ("row_counts", {"part": 1, "lineitem": 1, "orders": 1}),
+        ("dq_checks", {"part": 1, "lineitem": 1, "orders": 1}),
+        ("orphan_lines", {"part": 1, "lineitem": 1, "orders": 1}),
+        ("publish_orders", {"lineitem": 1, "orders": 1}),
+        ("top_color_by_year", {"part": 1, "lineitem": 1, "orders": 1}),
+    ],
+)
+def test_each_table_is_scanned_once(spark, name, scans):
+    plan = plan_text(QUERIES[name](spark, SF_SMOKE), "simple")
+    assert {t: plan.count(f"/{t}.parquet") for t in ("part", "lineitem", "orders")} == {"part": 0, "lineitem": 0, "orders": 0} | scans

@@ -1,5 +1,6 @@
 """A hot key holding a third of all lines: the join is split, results whole."""
 
+import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
 
@@ -51,6 +52,41 @@ def test_hot_order_key_is_split_and_complete(spark):
                 spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("hot", ["5", None])
+def test_hot_and_null_product_is_split_and_complete(spark, hot):
+    """A third of the lines has one product, or none: the left join keeps every line under a forced sort-merge join."""
+    n = 150_000
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    prev = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.range(n, numPartitions=8)
+        lines = ids.select(
+            F.when(F.col("id") % 3 == 0, F.lit(hot).cast("long")).otherwise(F.col("id")).alias("ProductID"),
+            F.col("id").cast("double").alias("amount"),
+            F.lit(None).cast("timestamp_ntz").alias("OrderDate"),
+        )
+        product = ids.select(F.col("id").alias("ProductID"), F.lit("Red").alias("Color"), F.lit("c").alias("ProductCategoryName"))
+        out = R.orders_with_product(lines, product).agg(
+            F.count(F.lit(1)).alias("n"), F.count("Color").alias("matched"), F.sum("amount").alias("s")
+        )
+        row = out.collect()[0]
+        assert (row.n, row.s) == (n, float(n * (n - 1) // 2))
+        assert row.matched == (n if hot else n - n // 3)
+        assert "skew=true" in plan_text(out, "simple")
+    finally:
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hot_key_dedupe_ships_one_row_per_task(spark):
     """Partial WindowGroupLimit runs before the shuffle, so a key holding a
     third of the rows crosses the network as at most one row per map task."""

@@ -18,6 +18,12 @@ from pyspark.sql import functions as F
 # text) yields NULL, and overflow yields NULL too.
 INTEGER_TEXT = r"^\s*([+-]?[0-9]+)([.][0-9]*)?\s*$"
 
+# Fixed pattern: an identifier may carry a zero fraction ('12.0'), no other.
+IDENTIFIER_TEXT = r"^\s*([+-]?[0-9]+)([.]0*)?\s*$"
+
+# Fixed pattern: a time of day followed by a UTC offset or Z.
+ZONED_TEXT = r"[0-9]{1,2}:[0-9.:]+\s*(?:[Zz]|(?:UTC|GMT)?[+-][0-9]{1,2}(?::?[0-9]{2})?)\s*$"
+
 # A date text of exactly this many characters (``yyyy-MM``) lacks its day.
 INCOMPLETE_DATE_LENGTH = 7
 
@@ -27,7 +33,8 @@ class Role(str, Enum):
 
     TRIM = "trim"  # string, surrounding spaces removed
     INT = "int"  # tolerant 32-bit integer
-    LONG = "long"  # tolerant 64-bit integer (identifiers)
+    LONG = "long"  # tolerant 64-bit integer
+    KEY = "key"  # 64-bit identifier; a fraction other than zero is a reject
     DOUBLE = "double"  # tolerant double
     FLAG = "flag"  # 'true'/'false' in any case, else NULL
     TIMESTAMP = "timestamp"  # wall-clock timestamp (no time zone)
@@ -45,18 +52,27 @@ def trimmed(c: "Column | str") -> Column:
 def tolerant_int(c: "Column | str", bits: int = 32) -> Column:
     """Integer part of a numeric text; NULL for other text or on overflow.
 
-    The pattern isolates the digits first, so the cast only sees text it
-    accepts (a failing ``try_cast`` is several times slower than a match).
+    Text that is the plain form of an integer (nearly all of it) is cast and
+    never matched; the pattern decides the rest.
     """
-    t = "int" if bits == 32 else "long"
-    digits = F.regexp_extract(_c(c), INTEGER_TEXT, 1)
-    return F.nullif(digits, F.lit("")).try_cast(t)
+    return _integer(_c(c), INTEGER_TEXT, "int" if bits == 32 else "long")
+
+
+def _integer(text: Column, pattern: str, kind: str) -> Column:
+    plain = text.try_cast(kind)
+    digits = F.regexp_extract(text, pattern, 1)
+    return F.when(plain.cast("string") == text, plain).otherwise(F.nullif(digits, F.lit("")).try_cast(kind))
 
 
 def tolerant_long(c: "Column | str") -> Column:
     return tolerant_int(c, bits=64)
 
 
+def tolerant_key(c: "Column | str") -> Column:
+    """64-bit identifier: like :func:`tolerant_long`, but ``12.5`` is NULL (``12.0`` stays 12)."""
+    return _integer(_c(c), IDENTIFIER_TEXT, "long")
+
+
 def tolerant_double(c: "Column | str") -> Column:
     return _c(c).try_cast("double")
 
@@ -72,8 +88,13 @@ def parse_timestamp(c: "Column | str") -> Column:
     """Text to ``timestamp_ntz``; unparsable text is NULL.
 
     Wall-clock semantics: the result does not depend on the session time zone.
+    Text that ends in a UTC offset names an instant, which is given by its UTC
+    wall clock; other text is taken as it stands.
     """
-    return _c(c).try_cast("timestamp_ntz")
+    text = _c(c)
+    seconds = (F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.when(text.rlike(ZONED_TEXT), utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def is_incomplete_date(c: "Column | str") -> Column:
@@ -98,6 +119,7 @@ _TYPERS = {
     Role.TRIM: trimmed,
     Role.INT: tolerant_int,
     Role.LONG: tolerant_long,
+    Role.KEY: tolerant_key,
     Role.DOUBLE: tolerant_double,
     Role.FLAG: strict_flag,
     Role.TIMESTAMP: parse_timestamp,

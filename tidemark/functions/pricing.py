@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
+from enum import Enum
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.plans.options import PriceMode
+
+class PriceMode(str, Enum):
+    """Which line-price formula becomes the official ``TotalLineExtendedPrice``.
+
+    ``SPEC``: quantity * (price - discount), discount read as an amount.
+    ``CORRECT``: quantity * price * (1 - discount), discount read as a rate.
+    """
+
+    SPEC = "spec"
+    CORRECT = "correct"
+
+    @classmethod
+    def parse(cls, value: "PriceMode | str") -> "PriceMode":
+        if isinstance(value, cls):
+            return value
+        try:
+            return cls(str(value).strip().lower())
+        except ValueError:
+            allowed = ", ".join(m.value for m in cls)
+            raise ValueError(f"price_mode must be one of {allowed}; got {value!r}") from None
 
 
 def _c(c: "Column | str") -> Column:

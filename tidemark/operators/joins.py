@@ -1,12 +1,8 @@
 """Joins of order lines to headers and dimensions.
 
-Broadcast policy: a dimension is broadcast only when the caller proves an
-upper bound on its row count (e.g. the row count of its source table, which
-de-duplication and enrichment never increase) and that bound is under
-``max_broadcast_rows``. Otherwise the join is left to the planner: a
-sort-merge join whose skewed partitions adaptive execution splits
-(``spark.sql.adaptive.skewJoin.enabled``), or a broadcast chosen at run time
-from measured shuffle sizes.
+No join carries a hint: Spark broadcasts a side whose measured size is under
+its threshold, else it is a sort-merge join whose skewed partitions adaptive
+execution splits (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -16,62 +12,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast. A dimension row here is a key
-# plus a few short strings (< 100 bytes), so 1M rows stay well below 100 MB.
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Prefix of a header column whose name the detail has too.
+HEADER_PREFIX = "Header_"
 
 
 def _keys(on: "str | Sequence[str]") -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def lines_with_header(detail: DataFrame, header: DataFrame, on: "str | Sequence[str]") -> DataFrame:
-    """Inner equi-join keeping one copy of the key (USING semantics).
+def header_columns(detail: DataFrame, header: DataFrame, on: "str | Sequence[str]") -> dict[str, str]:
+    """Output name of every non-key header column: its own, or with
+    ``Header_`` in front (again, if need be) where the detail has that name."""
+    keys = _keys(on)
+    taken = set(detail.columns)
+    out: dict[str, str] = {}
+    for c in header.columns:
+        if c in keys:
+            continue
+        name = c
+        while name in taken:
+            name = HEADER_PREFIX + name
+        taken.add(name)
+        out[c] = name
+    return out
+
+
+def lines_with_header(detail: DataFrame, header: DataFrame, on: "str | Sequence[str]", how: str = "inner") -> DataFrame:
+    """Inner equi-join (or ``how``) keeping one copy of the key (USING semantics).
 
     Lines with a NULL or unmatched key drop out; duplicate headers fan out.
-    Output: key, detail columns, header columns. A non-key column present on
-    both sides is an error (it would yield two columns of one name).
+    Output: key, detail columns, header columns. A column of both sides keeps
+    the detail's value under its name and the header's under ``Header_<name>``.
     """
     keys = _keys(on)
-    clash = sorted((set(detail.columns) & set(header.columns)) - set(keys))
-    if clash:
-        raise ValueError(f"columns on both sides of the join besides the key: {clash}")
-    return detail.join(header, on=keys, how="inner")
-
-
-# Session setting that overrides the default row bound (e.g. 0 disables it).
-MAX_BROADCAST_ROWS_CONF = "spark.tidemark.maxBroadcastRows"
-
-
-def max_broadcast_rows(df: DataFrame, default: int = DEFAULT_MAX_BROADCAST_ROWS) -> int:
-    """The row bound for broadcasts: the session's
-    ``spark.tidemark.maxBroadcastRows`` if set, else ``default``."""
-    value = df.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, None)
-    return int(value) if value not in (None, "") else default
+    names = header_columns(detail, header, keys)
+    return detail.join(header.select(*keys, *[F.col(c).alias(n) for c, n in names.items()]), on=keys, how=how)
 
 
-def bounded_broadcast(dim: DataFrame, row_bound: "int | None", max_rows: "int | None" = None) -> DataFrame:
-    """``broadcast(dim)`` if ``row_bound`` is known and <= the row bound
-    (``max_rows``, else the session setting, else the default); else ``dim``."""
-    limit = max_broadcast_rows(dim) if max_rows is None else max_rows
-    if row_bound is not None and 0 <= row_bound <= limit:
-        return F.broadcast(dim)
-    return dim
-
-
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: "str | Sequence[str]",
-    how: str = "left",
-    dim_row_bound: "int | None" = None,
-    max_rows: "int | None" = None,
-) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on: "str | Sequence[str]", how: str = "left") -> DataFrame:
     """Equi-join a fact table to a dimension (USING semantics).
 
     With ``how='left'`` unmatched facts keep NULL dimension attributes.
     """
-    return fact.join(bounded_broadcast(dim, dim_row_bound, max_rows), on=_keys(on), how=how)
+    return fact.join(dim, on=_keys(on), how=how)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, on: "str | Sequence[str]") -> DataFrame:
@@ -81,3 +64,14 @@ def orphans(fact: DataFrame, dim: DataFrame, on: "str | Sequence[str]") -> DataF
     """
     keys = _keys(on)
     return fact.join(dim.select(*keys), on=keys, how="left_anti")
+
+
+def orphan_counts(fact: DataFrame, dims: "dict[str, tuple[DataFrame, str]]") -> DataFrame:
+    """One row with, for each ``name -> (dim, key)``, the fact rows whose key
+    has no match (NULL keys included). The fact table is read once: distinct
+    keys of every dimension are left-joined one after another."""
+    out = fact.select(*dict.fromkeys(key for _, key in dims.values()))
+    for name, (dim, key) in dims.items():
+        known = dim.select(F.col(key).alias(f"__{name}")).where(F.col(f"__{name}").isNotNull()).distinct()
+        out = out.join(known, out[key] == known[f"__{name}"], "left")
+    return out.agg(*[F.count_if(F.col(f"__{name}").isNull()).alias(name) for name in dims])

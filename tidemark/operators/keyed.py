@@ -3,6 +3,9 @@
 ``row_number() <= n`` over a key window is planned by Spark as a partial
 ``WindowGroupLimit`` before the shuffle and a final one after it, so a hot key
 sends at most n rows per map task across the network, never the whole group.
+Spark plans that limit up to n = 1000 only. For larger n the rows of a key are
+first ranked within random-like parts of it (a hash of the row), n rows of each
+part stay, and only those meet in the final ranking.
 """
 
 from __future__ import annotations
@@ -13,6 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__tidemark_rank"
+_PART = "__tidemark_part"
+# Largest n for which Spark plans a partial window limit (its default threshold).
+PLANNED_LIMIT = 1000
 
 
 def _orderable(df: DataFrame, name: str) -> bool:
@@ -38,8 +44,17 @@ def first_n_by(
     if tiebreak_rest:
         used = set(keys)
         full += [F.col(c).asc_nulls_first() for c in df.columns if c not in used and _orderable(df, c)]
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*full)
-    return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) <= F.lit(n)).drop(_RANK)
+    by = [F.col(k) for k in keys]
+
+    def ranked(rows: DataFrame, *parts: Column) -> DataFrame:
+        w = Window.partitionBy(*by, *parts).orderBy(*full)
+        return rows.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) <= F.lit(n)).drop(_RANK)
+
+    if n > PLANNED_LIMIT:
+        hashed = [F.col(c) for c in df.columns if _orderable(df, c)]
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = ranked(df.withColumn(_PART, F.pmod(F.xxhash64(*hashed), F.lit(parts))), F.col(_PART)).drop(_PART)
+    return ranked(df)
 
 
 def keep_first_by_preference(df: DataFrame, keys: Sequence[str], prefer: Sequence[Column]) -> DataFrame:

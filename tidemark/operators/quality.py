@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import day_number, iso_weekday
+from tidemark.operators.analysis import is_ordinary
 
 
 def missing_columns(df: DataFrame, required: Iterable[str]) -> list[str]:
@@ -36,9 +37,20 @@ def _rows(checks: Sequence[tuple[str, Column, Column]]) -> Column:
     )
 
 
+# Internal column: number of the matched header among those of its key.
+HEADER_NO = "__tidemark_header_no"
+
+
+def numbered_headers(header: DataFrame, key: str) -> DataFrame:
+    """Headers with their number within their key, so that a fanned-out line
+    can be counted once. The window's partitioning is the join's, so it adds no
+    shuffle of its own."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in header.columns if c != key])
+    return header.withColumn(HEADER_NO, F.row_number().over(w))
+
+
 def order_checks(
-    published: DataFrame,
-    detail: DataFrame,
+    lines: DataFrame,
     *,
     qty: str = "OrderQty",
     price: str = "TotalLineExtendedPrice",
@@ -50,49 +62,46 @@ def order_checks(
 ) -> DataFrame:
     """Integrity checks of published order lines against the typed detail.
 
+    ``lines`` are the detail lines left-joined to :func:`numbered_headers` and
+    measured: published are those with a header number, and a detail line is
+    counted at its first (or missing) header, so both tables are read once.
+
     published_nonempty, negative_freight, price_sign_mismatch (a negative price
-    needs a negative quantity and vice versa), ship_before_order,
-    lead_time_missing and join_row_change (|detail rows - published rows|).
-    Both tables are scanned once, in one job, via a tagged union. With
+    needs a negative quantity and vice versa), unusual_price (NaN, infinite or
+    1e9 and beyond), ship_before_order, lead_time_missing, join_row_change
+    (|detail rows - published rows|) and lines_without_header. With
     ``required``, a ``required_columns`` row counts the missing ones (a
     plan-time check).
     """
-    tag = "__tidemark_published"
-    pub = published.select(
-        F.lit(True).alias(tag),
-        F.col(qty).alias("q"),
-        F.col(price).alias("p"),
-        F.col(freight).alias("f"),
-        F.col(order_date).alias("o"),
-        F.col(ship_date).alias("s"),
-        F.col(lead).alias("l"),
-    )
-    det = detail.select(F.lit(False).alias(tag))
-    both = pub.unionByName(det, allowMissingColumns=True)
-    is_pub = F.col(tag)
-    q, p = F.col("q"), F.col("p")
+    no = F.col(HEADER_NO)
+    pub = no.isNotNull()
+    q, p = F.col(qty), F.col(price)
     sign_bad = ((p < 0) & (q >= 0)) | ((p > 0) & (q < 0))
-    agg = both.agg(
-        F.count_if(is_pub).alias("pub_rows"),
-        F.count_if(~is_pub).alias("detail_rows"),
-        F.count_if(is_pub & (F.col("f") < 0)).alias("neg_freight"),
-        F.count_if(is_pub & sign_bad).alias("sign_bad"),
-        F.count_if(is_pub & (F.col("s") < F.col("o"))).alias("reversed"),
-        F.count_if(is_pub & F.col("l").isNull()).alias("lead_missing"),
+    agg = lines.agg(
+        F.count_if(pub).alias("pub_rows"),
+        F.count_if(no.isNull() | (no == 1)).alias("detail_rows"),
+        F.count_if(pub & (F.col(freight) < 0)).alias("neg_freight"),
+        F.count_if(pub & sign_bad).alias("sign_bad"),
+        F.count_if(pub & ~is_ordinary(p)).alias("unusual"),
+        F.count_if(pub & (F.col(ship_date) < F.col(order_date))).alias("reversed"),
+        F.count_if(pub & F.col(lead).isNull()).alias("lead_missing"),
+        F.count_if(no.isNull()).alias("no_header"),
     )
-    pub_rows = F.col("pub_rows")
+    pub_rows, detail_rows = F.col("pub_rows"), F.col("detail_rows")
     return agg.select(
         _rows(
             [
                 ("published_nonempty", F.when(pub_rows == 0, 1).otherwise(0), pub_rows),
                 ("negative_freight", F.col("neg_freight"), pub_rows),
                 ("price_sign_mismatch", F.col("sign_bad"), pub_rows),
+                ("unusual_price", F.col("unusual"), pub_rows),
                 ("ship_before_order", F.col("reversed"), pub_rows),
                 ("lead_time_missing", F.col("lead_missing"), pub_rows),
-                ("join_row_change", F.abs(F.col("detail_rows") - pub_rows), F.col("detail_rows")),
+                ("join_row_change", F.abs(detail_rows - pub_rows), detail_rows),
+                ("lines_without_header", F.col("no_header"), detail_rows),
             ]
             + (
-                [("required_columns", F.lit(len(missing_columns(published, required))), F.lit(len(required)))]
+                [("required_columns", F.lit(len(missing_columns(lines, required))), F.lit(len(required)))]
                 if required
                 else []
             )
@@ -100,6 +109,19 @@ def order_checks(
     )
 
 
+def table_checks(name: str, df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """``<name>_nonempty`` and ``<name>_required_columns`` of one table."""
+    rows = F.col("rows")
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+        _rows(
+            [
+                (f"{name}_nonempty", F.when(rows == 0, 1).otherwise(0), rows),
+                (f"{name}_required_columns", F.lit(len(missing_columns(df, required))), F.lit(len(required))),
+            ]
+        )
+    )
+
+
 def _weekdays_in_first_days() -> list[int]:
     """Entry ``(w - 1) * 7 + r``: weekdays among the first r days (0..6) of a
     range starting on ISO weekday w (1 = Monday). Built from the rule."""

@@ -23,6 +23,11 @@ def _long(expr: str) -> str:
     return _int(expr, "BIGINT")
 
 
+def _key(expr: str) -> str:
+    """Identifier: an integer, with a zero fraction at most."""
+    return f"TRY_CAST(regexp_extract({expr}, '^\\s*([+-]?[0-9]+)([.]0*)?\\s*$', 1) AS BIGINT)"
+
+
 def _dbl(expr: str) -> str:
     return f"TRY_CAST({expr} AS DOUBLE)"
 
@@ -32,7 +37,14 @@ def _flag(expr: str) -> str:
 
 
 def _ts(expr: str) -> str:
-    return f"TRY_CAST({expr} AS TIMESTAMP)"
+    """Text as a timestamp; a text that ends in ``+hh:mm`` or ``-hh:mm`` is moved to UTC by hand."""
+    moved = (
+        f"TRY_CAST(left({expr}, length({expr}) - 6) AS TIMESTAMP)"
+        f" - (CASE WHEN substring({expr}, length({expr}) - 5, 1) = '-' THEN -1 ELSE 1 END)"
+        f" * (TRY_CAST(substring({expr}, length({expr}) - 4, 2) AS INTEGER) * 60 + TRY_CAST(right({expr}, 2) AS INTEGER))"
+        f" * INTERVAL 1 MINUTE"
+    )
+    return f"(CASE WHEN regexp_matches({expr}, ':[0-9]{{2}}[+-][0-9]{{2}}:[0-9]{{2}}$') THEN {moved} ELSE TRY_CAST({expr} AS TIMESTAMP) END)"
 
 
 _FLAG_CASE = (
@@ -48,32 +60,46 @@ _SUBCATEGORY = (
 
 RAW_VIEWS = f"""
 raw_detail AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS SalesOrderID,
+  SELECT CASE WHEN l_orderkey % 499 = 3 THEN NULL WHEN l_orderkey % 491 = 5 THEN '-' || CAST(l_orderkey AS VARCHAR)
+              ELSE CAST(l_orderkey AS VARCHAR) END AS SalesOrderID,
          CAST(l_linenumber AS VARCHAR) AS SalesOrderDetailID,
-         CAST(l_quantity AS VARCHAR) AS OrderQty,
-         CAST(l_partkey AS VARCHAR) AS ProductID,
-         CAST(l_extendedprice AS VARCHAR) AS UnitPrice,
+         CASE WHEN l_orderkey % 53 = 0 THEN '-' ELSE '' END || CAST(l_quantity AS VARCHAR) AS OrderQty,
+         CASE l_partkey % 97 WHEN 1 THEN '-' || CAST(l_partkey AS VARCHAR) WHEN 2 THEN NULL
+              WHEN 3 THEN CAST(l_partkey AS VARCHAR) || '.0' ELSE CAST(l_partkey AS VARCHAR) END AS ProductID,
+         CASE WHEN (l_orderkey + l_linenumber) % 1009 = 1 AND year(l_shipdate) = 1996 THEN 'NaN'
+              WHEN (l_orderkey + l_linenumber) % 1009 = 2 AND year(l_shipdate) = 1997 THEN 'Infinity'
+              WHEN (l_orderkey + l_linenumber) % 1009 = 3 AND year(l_shipdate) = 1998 THEN '1e20'
+              WHEN l_orderkey % 307 = 0 THEN '0.01'
+              WHEN l_orderkey % 5 = 0 THEN CAST(l_extendedprice AS VARCHAR) || '1379'
+              ELSE CAST(l_extendedprice AS VARCHAR) END AS UnitPrice,
          CASE WHEN l_orderkey % 211 = 0 THEN 'n/a' ELSE CAST(l_discount + 0.0 AS VARCHAR) END AS UnitPriceDiscount,
          ' ' || l_returnflag || l_linestatus || '-' || CAST(l_suppkey AS VARCHAR) || ' ' AS CarrierTrackingNumber
   FROM lineitem
 ),
-order_ship AS (
-  SELECT l_orderkey AS ok, max(l_shipdate) AS ship_ts FROM lineitem GROUP BY l_orderkey
+shipped AS (
+  SELECT *, o_orderdate + (o_orderkey % 11 - 1) * INTERVAL 1 DAY AS ship_ts, 0 AS copy FROM orders
+  UNION ALL
+  SELECT *, o_orderdate + (o_orderkey % 11 - 1) * INTERVAL 1 DAY, 1 FROM orders WHERE o_orderkey % 401 = 0
 ),
 raw_header AS (
   SELECT CASE WHEN o_orderkey % 13 = 0 THEN ' ' || CAST(o_orderkey AS VARCHAR) || ' '
               ELSE CAST(o_orderkey AS VARCHAR) END AS SalesOrderID,
          CASE WHEN o_orderkey % 97 = 0 THEN strftime(o_orderdate, '%Y-%m')
+              WHEN o_orderkey % 113 = 4 THEN strftime(o_orderdate, '%Y-%m-%d') || 'T23:30:00-05:00'
               WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
               ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS OrderDate,
-         strftime(ship_ts, '%Y-%m-%d %H:%M:%S') AS ShipDate,
+         CASE WHEN o_orderkey % 131 = 7 THEN 'soon'
+              WHEN o_orderkey % 127 = 9 THEN strftime(ship_ts, '%Y-%m-%d') || ' 01:30:00+02:30'
+              ELSE strftime(ship_ts, '%Y-%m-%d %H:%M:%S') END AS ShipDate,
          {_FLAG_CASE.format(k="o_orderkey")} AS OnlineOrderFlag,
          '  AW' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') || ' ' AS AccountNumber,
-         CAST(o_custkey AS VARCHAR) AS CustomerID,
+         CASE WHEN o_orderkey % 71 = 0 THEN CAST(o_custkey AS VARCHAR) || '.5' ELSE CAST(o_custkey AS VARCHAR) END AS CustomerID,
          substring(o_orderpriority, 1, 1) AS SalesPersonID,
-         CASE WHEN o_orderkey % 89 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS Freight,
+         CASE WHEN copy = 1 THEN '1.5' WHEN o_orderkey % 89 = 0 THEN 'n/a'
+              WHEN o_orderkey % 83 = 2 THEN '-' || CAST(o_totalprice AS VARCHAR)
+              ELSE CAST(o_totalprice AS VARCHAR) END AS Freight,
          ' PO' || o_orderstatus || CAST(o_orderkey AS VARCHAR) || ' ' AS PurchaseOrderNumber
-  FROM orders LEFT JOIN order_ship ON o_orderkey = ok
+  FROM shipped
 ),
 raw_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS ProductID,
@@ -100,19 +126,26 @@ raw_products AS (
          CASE WHEN p_partkey % 11 = 0 THEN lower({_SUBCATEGORY}) ELSE {_SUBCATEGORY} END AS ProductSubCategoryName
   FROM part
   UNION ALL
-  SELECT ' ' || CAST(p_partkey AS VARCHAR), p_name || ' (old)', p_brand, 'false', 'Silver',
+  SELECT odd_id, p_name || ' (' || kind || ')', p_brand, 'false', 'Silver',
          CAST(p_size AS VARCHAR), '0', '1.5', CAST(p_retailprice AS VARCHAR), CAST(p_size AS VARCHAR),
          'CM ', NULL, 'LB',
          CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE 'Legacy' END,
          CASE WHEN p_partkey % 11 = 0 THEN lower({_SUBCATEGORY}) ELSE {_SUBCATEGORY} END
-  FROM part
+  FROM (
+    SELECT *, ' ' || CAST(p_partkey AS VARCHAR) AS odd_id, 'old' AS kind FROM part
+    UNION ALL SELECT *, ' AB-' || CAST(p_partkey AS VARCHAR), 'code' FROM part WHERE p_partkey % 59 = 0
+    UNION ALL SELECT *, '9999999999999999999' || CAST(p_partkey AS VARCHAR), 'long' FROM part WHERE p_partkey % 59 = 1
+    UNION ALL SELECT *, CAST(p_partkey AS VARCHAR) || '.5', 'half' FROM part WHERE p_partkey % 59 = 2
+    UNION ALL SELECT *, NULL, 'none' FROM part WHERE p_partkey % 59 = 3
+  )
 )"""
 
 # Fixed values inside the SQL below: the category rules (Clothing, Accessories,
 # Components lists and the 'frames' substring) and the 'N/A' colour.
 TYPED_PRODUCTS = f"""
 typed_products AS (
-  SELECT {_long("ProductID")} AS ProductID,
+  SELECT {_key("ProductID")} AS ProductID,
+         coalesce(CAST({_key("ProductID")} AS VARCHAR), 'text:' || trim(ProductID)) AS product,
          trim(ProductDesc) AS ProductDesc,
          ProductNumber,
          {_flag("MakeFlag")} AS MakeFlag,
@@ -129,9 +162,9 @@ typed_products AS (
   FROM raw_products
 ),
 store_products AS (
-  SELECT * EXCLUDE (rn) FROM (
+  SELECT * EXCLUDE (rn, product) FROM (
     SELECT *, row_number() OVER (
-      PARTITION BY ProductID
+      PARTITION BY product
       ORDER BY CASE WHEN ProductCategoryName IS NULL OR ProductCategoryName = '' THEN 1 ELSE 0 END,
                ProductDesc NULLS FIRST, ProductNumber NULLS FIRST, MakeFlag NULLS FIRST,
                Color NULLS FIRST, SafetyStockLevel NULLS FIRST, ReorderPoint NULLS FIRST,
@@ -160,10 +193,10 @@ publish_product AS (
 
 TYPED_DETAIL = f"""
 store_detail AS (
-  SELECT {_long("SalesOrderID")} AS SalesOrderID,
-         {_long("SalesOrderDetailID")} AS SalesOrderDetailID,
+  SELECT {_key("SalesOrderID")} AS SalesOrderID,
+         {_key("SalesOrderDetailID")} AS SalesOrderDetailID,
          {_int("OrderQty")} AS OrderQty,
-         {_long("ProductID")} AS ProductID,
+         {_key("ProductID")} AS ProductID,
          {_dbl("UnitPrice")} AS UnitPrice,
          {_dbl("UnitPriceDiscount")} AS UnitPriceDiscount,
          trim(CarrierTrackingNumber) AS CarrierTrackingNumber
@@ -175,13 +208,13 @@ def typed_header(impute: bool) -> str:
     fix = f"CAST(CAST({_ts('ShipDate')} AS DATE) - 7 AS TIMESTAMP)" if impute else "CAST(NULL AS TIMESTAMP)"
     return f"""
 store_header AS (
-  SELECT {_long("SalesOrderID")} AS SalesOrderID,
+  SELECT {_key("SalesOrderID")} AS SalesOrderID,
          CASE WHEN length(OrderDate) = 7 THEN {fix} ELSE {_ts("OrderDate")} END AS OrderDate,
          {_ts("ShipDate")} AS ShipDate,
          {_flag("OnlineOrderFlag")} AS OnlineOrderFlag,
          trim(AccountNumber) AS AccountNumber,
-         {_long("CustomerID")} AS CustomerID,
-         {_long("SalesPersonID")} AS SalesPersonID,
+         {_key("CustomerID")} AS CustomerID,
+         {_key("SalesPersonID")} AS SalesPersonID,
          {_dbl("Freight")} AS Freight,
          trim(PurchaseOrderNumber) AS PurchaseOrderNumber
   FROM raw_header
@@ -233,4 +266,8 @@ def prelude(options: PipelineOptions = PipelineOptions()) -> str:
 
 
 def money_sum(expr: str) -> str:
-    return f"CAST(SUM(CAST({expr} AS DECIMAL(18,4))) AS DOUBLE)"
+    """Ordinary amounts by their shortest text as decimals, the others as doubles; NULL only if both have none."""
+    fine = f"({expr} > -1e9 AND {expr} < 1e9)"
+    exact = f"CAST(sum(TRY_CAST(CAST(CASE WHEN {fine} THEN {expr} END AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE)"
+    odd = f"sum({expr}) FILTER ({expr} IS NOT NULL AND NOT {fine})"
+    return f"(CASE WHEN {odd} IS NULL THEN {exact} WHEN {exact} IS NULL THEN {odd} ELSE {exact} + {odd} END)"

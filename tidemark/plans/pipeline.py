@@ -6,8 +6,6 @@ and read back by the next. The written layers cut lineage (a lost executor
 recomputes from the last written layer, not from the CSV input) and give
 exact row counts for free (``Observation`` on each write).
 
-The broadcast decision for the product dimension uses the observed row count
-of the written ``publish_product`` table: an exact bound, not an estimate.
 The two analysis questions share one pass: a single grouping-sets aggregate
 over the order-product join, so the join and the scan of published orders
 run once for both answers.
@@ -24,14 +22,14 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.analysis import formula_comparison, row_counts
-from tidemark.operators.quality import lead_time_edges, order_checks
+from tidemark.operators.analysis import formula_comparison
+from tidemark.operators.quality import lead_time_edges, table_checks
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions
 from tidemark.sources.csv import write_single_csv
 from tidemark.sources.layers import Layout, write_parquet
 
-# Columns of the two sample exports, sorted on all of them (a total order).
+# Columns of the two sample exports, sorted on all of them (a total order).
 SAMPLE_ORDER_COLUMNS = (
     "SalesOrderID", "SalesOrderDetailID", "OrderDate", "ShipDate", "ProductID", "OrderQty",
     "UnitPrice", "UnitPriceDiscount", "LeadTimeInBusinessDays", "TotalLineExtendedPrice",
@@ -62,7 +60,6 @@ def run(
     layout: Layout,
     options: PipelineOptions = PipelineOptions(),
     export_dir: "str | None" = None,
-    max_broadcast_rows: "int | None" = None,
     concurrent_jobs: int = 3,
     checks: bool = False,
 ) -> RunResult:
@@ -75,9 +72,9 @@ def run(
     exports) are submitted as concurrent Spark jobs from ``concurrent_jobs``
     driver threads, so one job's small tail stages overlap another's work.
 
-    With ``checks``, the whole-table integrity checks of the published orders
-    (``order_checks``, ``lead_time_edges``) and the non-empty checks of the
-    answers (``analysis_checks``) are written to the quality layer.
+    With ``checks``, the whole-table integrity checks of the published orders,
+    the product table and both answers (``order_checks``) and the lead-time
+    cases (``lead_time_edges``) are written to the quality layer.
     """
     res = RunResult()
     lock = threading.Lock()
@@ -111,7 +108,7 @@ def run(
         orders = put("publish", "publish_orders", R.publish_orders(store_detail, store_header, options))
         product = fp.result()
 
-        lines = R.orders_with_product(orders, product, res.rows["publish_product"], max_broadcast_rows)
+        lines = R.orders_with_product(orders, product)
         groups = R.grouped_answers(lines).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Sequential on purpose: the first write computes and caches the
@@ -123,17 +120,13 @@ def run(
             groups.unpersist()
 
         if checks:
-            required = (R.LEAD, R.PRICE, R.FREIGHT_OUT)
-            answers = row_counts({"analysis_top_color_by_year": top, "analysis_avg_lead_by_category": lead})
-            nonempty = answers.select(
-                F.concat(F.col("dataset"), F.lit("_nonempty")).alias("check"),
-                F.when(F.col("rows") == 0, 1).otherwise(0).cast("long").alias("violations"),
-                F.col("rows").alias("checked"),
+            answers = table_checks("analysis_top_color_by_year", top, R.REQUIRED_TOP_COLUMNS).unionByName(
+                table_checks("analysis_avg_lead_by_category", lead, R.REQUIRED_LEAD_COLUMNS)
             )
+            integrity = R.integrity_checks(store_detail, store_header, product, top, lead, options, answers)
             fq = [
-                pool.submit(put, "quality", "order_checks", order_checks(orders, store_detail, required=required)),
+                pool.submit(put, "quality", "order_checks", integrity),
                 pool.submit(put, "quality", "lead_time_edges", lead_time_edges(orders)),
-                pool.submit(put, "quality", "analysis_checks", nonempty),
             ]
             for f in fq:
                 f.result()

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleanse import is_incomplete_date, strict_flag
+from tidemark.functions.cleanse import is_incomplete_date, parse_timestamp, strict_flag
 from tidemark.operators import analysis, joins, quality
 from tidemark.operators.typing import apply_roles, rejected_values
 from tidemark.plans import oracle
@@ -21,7 +21,7 @@ from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions, PriceMode
 from tidemark.plans.pipeline import SAMPLE_FORMULA_COLUMNS, SAMPLE_ORDER_COLUMNS, sorted_sample
 from tidemark.plans.retail import RawTables
-from tidemark.sources.tpch_roles import product_row_bound, raw_tables
+from tidemark.sources.tpch_roles import raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,13 +30,9 @@ CORRECT = PipelineOptions(price_mode=PriceMode.CORRECT)
 IMPUTED = PipelineOptions(impute_orderdate=True)
 
 
-def _layers(
-    spark: SparkSession, sf_dir: str, options: PipelineOptions = DEFAULT, product_join: bool = False
-) -> R.Layers:
-    """All layers, lazily. The product row bound (a count job on ``part``) is
-    taken only for queries that join the product dimension."""
-    bound = product_row_bound(spark, sf_dir) if product_join else None
-    return R.build(raw_tables(spark, sf_dir), options, bound)
+def _layers(spark: SparkSession, sf_dir: str, options: PipelineOptions = DEFAULT) -> R.Layers:
+    """All layers, lazily."""
+    return R.build(raw_tables(spark, sf_dir), options)
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> RawTables:
@@ -101,8 +97,16 @@ def q_dedupe_keep_populated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_duplicate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = apply_roles(_raw(spark, sf_dir).products, R.PRODUCT_ROLES)
-    return analysis.duplicate_profile(typed, "ProductID")
+    return R.product_profile(_raw(spark, sf_dir).products)
+
+
+def q_timestamp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header date texts, zoned ones included, and what they parse to."""
+    h = _raw(spark, sf_dir).header
+    return h.select(
+        "SalesOrderID", F.col("OrderDate").alias("order_text"), parse_timestamp("OrderDate").alias("order_ts"),
+        F.col("ShipDate").alias("ship_text"), parse_timestamp("ShipDate").alias("ship_ts"),
+    )
 
 
 # -------------------------------------------------------------- publish layer
@@ -137,7 +141,7 @@ def q_price_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_orders_with_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    owp = _layers(spark, sf_dir, product_join=True).orders_with_product
+    owp = _layers(spark, sf_dir).orders_with_product
     return owp.select(
         "SalesOrderID", "SalesOrderDetailID", "ProductID", "Color", "ProductCategoryName",
         "OrderYear", R.PRICE, R.LEAD,
@@ -145,15 +149,15 @@ def q_orders_with_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_revenue_by_year_color(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.revenue_by_year_color(_layers(spark, sf_dir, product_join=True).orders_with_product)
+    return R.revenue_by_year_color(_layers(spark, sf_dir).orders_with_product)
 
 
 def _top_color(options: PipelineOptions) -> Query:
-    return lambda spark, sf_dir: _layers(spark, sf_dir, options, product_join=True).top_color_by_year
+    return lambda spark, sf_dir: _layers(spark, sf_dir, options).top_color_by_year
 
 
 def _avg_lead(options: PipelineOptions) -> Query:
-    return lambda spark, sf_dir: _layers(spark, sf_dir, options, product_join=True).avg_lead_by_category
+    return lambda spark, sf_dir: _layers(spark, sf_dir, options).avg_lead_by_category
 
 
 def _coverage(options: PipelineOptions) -> Query:
@@ -165,7 +169,7 @@ def _coverage(options: PipelineOptions) -> Query:
 
 def _one_pass(which: int) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _layers(spark, sf_dir, product_join=True).answers()[which]
+        return _layers(spark, sf_dir).answers()[which]
 
     return q
 
@@ -183,37 +187,42 @@ def q_sample_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_sample(_layers(spark, sf_dir).publish_orders, SAMPLE_FORMULA_COLUMNS, 100)
 
 
-# Columns the published orders must carry.
-REQUIRED_ORDER_COLUMNS = ("LeadTimeInBusinessDays", "TotalLineExtendedPrice", "TotalOrderFreight")
-
-
 def q_dq_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     L = _layers(spark, sf_dir)
-    return quality.order_checks(L.publish_orders, L.store_detail, required=REQUIRED_ORDER_COLUMNS)
+    return R.integrity_checks(L.store_detail, L.store_header, L.publish_product, L.top_color_by_year, L.avg_lead_by_category)
 
 
 def q_orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = _layers(spark, sf_dir)
-    no_header = joins.orphans(L.store_detail, L.store_header, R.ORDER_KEY)
-    no_product = joins.orphans(L.store_detail, L.publish_product, R.PRODUCT_KEY)
-    return analysis.row_counts({"lines_without_header": no_header, "lines_without_product": no_product})
+    raw = _raw(spark, sf_dir)
+    detail = apply_roles(raw.detail.select(R.ORDER_KEY, R.PRODUCT_KEY), R.DETAIL_ROLES)
+    header = apply_roles(raw.header.select(R.ORDER_KEY), R.HEADER_ROLES)
+    product = apply_roles(raw.products.select(R.PRODUCT_KEY), R.PRODUCT_ROLES)
+    dims = {"lines_without_header": (header, R.ORDER_KEY), "lines_without_product": (product, R.PRODUCT_KEY)}
+    return analysis.stacked(joins.orphan_counts(detail, dims), list(dims))
 
 
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every dataset. Typing and enrichment keep rows, so the raw,
+    stored and published sizes follow from one profile of the products and one
+    count per order key; each source table is read once."""
     raw = _raw(spark, sf_dir)
-    L = _layers(spark, sf_dir)
-    return analysis.row_counts(
-        {
-            "raw_products": raw.products,
-            "raw_sales_order_detail": raw.detail,
-            "raw_sales_order_header": raw.header,
-            "store_products": L.store_products,
-            "store_sales_order_detail": L.store_detail,
-            "store_sales_order_header": L.store_header,
-            "publish_product": L.publish_product,
-            "publish_orders": L.publish_orders,
-        }
+    profile = R.product_profile(raw.products).select(
+        F.col("total_rows").alias("raw_products"),
+        (F.col("total_rows") - F.col("duplicate_rows")).alias("store_products"),
+        (F.col("total_rows") - F.col("duplicate_rows")).alias("publish_product"),
+    )
+    keys = analysis.join_counts(
+        apply_roles(raw.detail.select(R.ORDER_KEY), R.DETAIL_ROLES),
+        apply_roles(raw.header.select(R.ORDER_KEY), R.HEADER_ROLES),
+        R.ORDER_KEY,
+    ).select(
+        F.col("left_rows").alias("raw_sales_order_detail"),
+        F.col("left_rows").alias("store_sales_order_detail"),
+        F.col("right_rows").alias("raw_sales_order_header"),
+        F.col("right_rows").alias("store_sales_order_header"),
+        F.col("joined_rows").alias("publish_orders"),
     )
+    return analysis.stacked(profile, profile.columns).unionByName(analysis.stacked(keys, keys.columns))
 
 
 QUERIES: dict[str, Query] = {
@@ -228,6 +237,7 @@ QUERIES: dict[str, Query] = {
     "orderdate_impute": _header_dates(IMPUTED),
     "dedupe_keep_populated": q_dedupe_keep_populated,
     "duplicate_profile": q_duplicate_profile,
+    "timestamp_text": q_timestamp_text,
     "publish_product": q_publish_product,
     "publish_orders": _publish_orders(DEFAULT),
     "publish_orders_correct": _publish_orders(CORRECT),
@@ -295,7 +305,7 @@ FROM publish_orders""",
 
 def _oracle_rejects(table: str, cols: dict[str, str]) -> str:
     typed = {
-        "int": oracle._int, "long": oracle._long, "double": oracle._dbl,
+        "int": oracle._int, "long": oracle._long, "key": oracle._key, "double": oracle._dbl,
         "flag": oracle._flag, "timestamp": oracle._ts,
     }
     parts = ["count(*) AS rows"]
@@ -320,7 +330,8 @@ SELECT name AS "check", CAST(violations AS BIGINT) AS violations, CAST(checked A
   UNION ALL SELECT 'same_day', count_if(gap = 0 AND lt IS DISTINCT FROM 0), count_if(gap = 0) FROM e
   UNION ALL SELECT 'seven_day_span', count_if(gap = 7 AND lt IS DISTINCT FROM 5), count_if(gap = 7) FROM e
   UNION ALL SELECT 'reversed', count_if(gap < 0 AND lt IS DISTINCT FROM 0), count_if(gap < 0) FROM e
-  UNION ALL SELECT 'recomputed', count_if(OrderDate IS NOT NULL AND ShipDate IS NOT NULL AND lt IS NULL),
+  UNION ALL SELECT 'recomputed', count_if(OrderDate IS NOT NULL AND ShipDate IS NOT NULL AND lt IS DISTINCT FROM
+                     len(list_filter(range(greatest(gap, 0)), lambda i: isodow(CAST(OrderDate AS DATE) + CAST(i AS INTEGER)) <= 5))),
                    count_if(OrderDate IS NOT NULL AND ShipDate IS NOT NULL) FROM e
 )"""
 
@@ -328,33 +339,59 @@ _DQ = """
 , c AS (
   SELECT (SELECT count(*) FROM publish_orders) AS pub_rows,
          (SELECT count(*) FROM store_detail) AS detail_rows,
+         (SELECT count(*) FROM store_detail d WHERE NOT EXISTS
+            (SELECT 1 FROM store_header h WHERE h.SalesOrderID = d.SalesOrderID)) AS no_header,
          (SELECT count_if(TotalOrderFreight < 0) FROM publish_orders) AS neg_freight,
          (SELECT count_if((TotalLineExtendedPrice < 0 AND OrderQty >= 0) OR (TotalLineExtendedPrice > 0 AND OrderQty < 0))
             FROM publish_orders) AS sign_bad,
+         (SELECT count_if(isnan(TotalLineExtendedPrice) OR isinf(TotalLineExtendedPrice) OR TotalLineExtendedPrice >= 1e9
+            OR TotalLineExtendedPrice <= -1e9) FROM publish_orders) AS unusual,
          (SELECT count_if(ShipDate < OrderDate) FROM publish_orders) AS reversed,
-         (SELECT count_if(LeadTimeInBusinessDays IS NULL) FROM publish_orders) AS lead_missing)
+         (SELECT count_if(LeadTimeInBusinessDays IS NULL) FROM publish_orders) AS lead_missing,
+         (SELECT count(*) FROM publish_product) AS product_rows),
+n AS (
+  SELECT (SELECT json_keys(to_json(t)) FROM publish_orders t LIMIT 1) AS order_cols,
+         (SELECT json_keys(to_json(t)) FROM publish_product t LIMIT 1) AS product_cols,
+         (SELECT json_keys(to_json(t)) FROM (SELECT OrderYear, Color, sum(TotalLineExtendedPrice) AS Revenue
+            FROM orders_with_product GROUP BY ALL) t LIMIT 1) AS top_cols,
+         (SELECT json_keys(to_json(t)) FROM (SELECT ProductCategoryName, avg(LeadTimeInBusinessDays) AS AvgLeadTimeInBusinessDays
+            FROM orders_with_product GROUP BY ALL) t LIMIT 1) AS lead_cols),
+need AS (
+  SELECT ['LeadTimeInBusinessDays', 'TotalLineExtendedPrice', 'TotalOrderFreight'] AS order_need,
+         ['ProductID', 'Color', 'ProductCategoryName'] AS product_need,
+         ['OrderYear', 'Color', 'Revenue'] AS top_need,
+         ['ProductCategoryName', 'AvgLeadTimeInBusinessDays'] AS lead_need)
 SELECT name AS "check", CAST(violations AS BIGINT) AS violations, CAST(checked AS BIGINT) AS checked FROM (
   SELECT 'published_nonempty' AS name, CASE WHEN pub_rows = 0 THEN 1 ELSE 0 END AS violations, pub_rows AS checked FROM c
   UNION ALL SELECT 'negative_freight', neg_freight, pub_rows FROM c
   UNION ALL SELECT 'price_sign_mismatch', sign_bad, pub_rows FROM c
+  UNION ALL SELECT 'unusual_price', unusual, pub_rows FROM c
   UNION ALL SELECT 'ship_before_order', reversed, pub_rows FROM c
   UNION ALL SELECT 'lead_time_missing', lead_missing, pub_rows FROM c
   UNION ALL SELECT 'join_row_change', abs(detail_rows - pub_rows), detail_rows FROM c
-  UNION ALL SELECT 'required_columns', 0, 3 FROM c
+  UNION ALL SELECT 'lines_without_header', no_header, detail_rows FROM c
+  UNION ALL SELECT 'publish_product_nonempty', CASE WHEN product_rows = 0 THEN 1 ELSE 0 END, product_rows FROM c
+  UNION ALL SELECT 'required_columns', len(order_need) - len(list_intersect(order_need, order_cols)), len(order_need) FROM n, need
+  UNION ALL SELECT 'publish_product_required_columns', len(product_need) - len(list_intersect(product_need, product_cols)),
+    len(product_need) FROM n, need
+  UNION ALL SELECT 'analysis_top_color_by_year_required_columns', len(top_need) - len(list_intersect(top_need, top_cols)),
+    len(top_need) FROM n, need
+  UNION ALL SELECT 'analysis_avg_lead_by_category_required_columns', len(lead_need) - len(list_intersect(lead_need, lead_cols)),
+    len(lead_need) FROM n, need
 )"""
 
 
 def oracle_sql() -> dict[str, str]:
     product_cols = {
-        "ProductID": "long", "MakeFlag": "flag", "SafetyStockLevel": "int", "ReorderPoint": "int",
+        "ProductID": "key", "MakeFlag": "flag", "SafetyStockLevel": "int", "ReorderPoint": "int",
         "StandardCost": "double", "ListPrice": "double", "Weight": "double",
     }
     header_cols = {
-        "SalesOrderID": "long", "ShipDate": "timestamp", "OnlineOrderFlag": "flag",
-        "CustomerID": "long", "SalesPersonID": "long", "Freight": "double",
+        "SalesOrderID": "key", "ShipDate": "timestamp", "OnlineOrderFlag": "flag",
+        "CustomerID": "key", "SalesPersonID": "key", "Freight": "double",
     }
     detail_cols = {
-        "SalesOrderID": "long", "SalesOrderDetailID": "long", "OrderQty": "int", "ProductID": "long",
+        "SalesOrderID": "key", "SalesOrderDetailID": "key", "OrderQty": "int", "ProductID": "key",
         "UnitPrice": "double", "UnitPriceDiscount": "double",
     }
     return {
@@ -385,8 +422,14 @@ FROM f GROUP BY flag_column, raw_text"""
             """
 SELECT count(*) AS total_rows, count(DISTINCT ProductID) AS distinct_keys,
        CAST(count_if(ProductID IS NULL) AS BIGINT) AS null_keys,
-       count(*) - count(DISTINCT ProductID) - CASE WHEN count_if(ProductID IS NULL) > 0 THEN 1 ELSE 0 END AS duplicate_rows
+       count(*) - (SELECT count(*) FROM store_products) AS duplicate_rows
 FROM typed_products"""
+        ),
+        "timestamp_text": _with(
+            f"""
+SELECT SalesOrderID, OrderDate AS order_text,
+       CASE WHEN length(OrderDate) = 7 THEN TRY_CAST(OrderDate || '-01' AS TIMESTAMP) ELSE {oracle._ts('OrderDate')} END AS order_ts,
+       ShipDate AS ship_text, {oracle._ts('ShipDate')} AS ship_ts FROM raw_header"""
         ),
         "publish_product": _with("\nSELECT * FROM publish_product"),
         "publish_orders": _with("\nSELECT * FROM publish_orders"),
@@ -426,11 +469,14 @@ FROM orders_with_product GROUP BY OrderYear, Color"""
 , s AS (
   SELECT {oracle.money_sum('TotalLineExtendedPrice_Spec')} AS Total_Spec,
          {oracle.money_sum('TotalLineExtendedPrice_Correct')} AS Total_Correct,
-         round(avg(PriceDiff_Pct), 9) AS Avg_Diff_Pct,
+         {oracle.money_sum('PriceDiff_Pct')} / nullif(count(PriceDiff_Pct), 0) AS Avg_Diff_Pct,
          min(PriceDiff_Pct) + 0.0 AS Min_Diff_Pct,
          max(PriceDiff_Pct) + 0.0 AS Max_Diff_Pct,
-         count(*) AS Total_Rows
-  FROM publish_orders)
+         count(*) AS Total_Rows,
+         CAST(sum(TRY_CAST(CAST(CASE WHEN fine THEN TotalLineExtendedPrice_Spec END AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) AS Ordinary_Spec,
+         CAST(sum(TRY_CAST(CAST(CASE WHEN fine THEN TotalLineExtendedPrice_Correct END AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE) AS Ordinary_Correct,
+         CAST(count_if(NOT fine) AS BIGINT) AS Unusual_Lines
+  FROM (SELECT *, abs(TotalLineExtendedPrice_Spec) < 1e9 AND abs(TotalLineExtendedPrice_Correct) < 1e9 AS fine FROM publish_orders))
 SELECT *, Total_Correct - Total_Spec AS Diff_Amount,
        CASE WHEN Total_Spec <> 0 THEN (Total_Correct - Total_Spec) / Total_Spec * 100.0 ELSE 0.0 END AS Diff_Pct_Total
 FROM s"""

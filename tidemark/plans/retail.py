@@ -12,23 +12,24 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import business_days
-from tidemark.functions.cleanse import Role, repaired_timestamp
+from tidemark.functions.cleanse import Role, repaired_timestamp, typed
 from tidemark.functions.enrich import MISSING_COLOR, category_from_rules, fill_blank, is_blank
 from tidemark.functions.pricing import line_price_amount, line_price_rate, official_price, pct_gap
-from tidemark.operators.analysis import mean_by, money_sum, revenue_by, top_by_group
+from tidemark.operators.analysis import duplicate_profile, mean_by, money_sum, revenue_by, top_by_group
 from tidemark.operators.joins import join_dimension, lines_with_header
 from tidemark.operators.keyed import keep_first_by_preference
+from tidemark.operators.quality import missing_columns, numbered_headers, order_checks, table_checks
 from tidemark.operators.typing import apply_roles
 from tidemark.plans.options import PipelineOptions
 
-# Column roles of the raw tables (fixed schema knowledge, applied only to
-# columns that are present). Identifiers are 64-bit so keys past 2^31 survive.
+# Column names and roles of the raw tables, applied only to
+# columns that are present. Identifiers are 64-bit so keys past 2^31 survive.
 PRODUCT_ROLES: Mapping[str, Role] = {
-    "ProductID": Role.LONG,
+    "ProductID": Role.KEY,
     "ProductDesc": Role.TRIM,
     "ProductCategoryName": Role.TRIM,
     "ProductSubCategoryName": Role.TRIM,
@@ -41,21 +42,21 @@ PRODUCT_ROLES: Mapping[str, Role] = {
     "MakeFlag": Role.FLAG,
 }
 DETAIL_ROLES: Mapping[str, Role] = {
-    "SalesOrderID": Role.LONG,
-    "SalesOrderDetailID": Role.LONG,
-    "ProductID": Role.LONG,
+    "SalesOrderID": Role.KEY,
+    "SalesOrderDetailID": Role.KEY,
+    "ProductID": Role.KEY,
     "OrderQty": Role.INT,
     "UnitPrice": Role.DOUBLE,
     "UnitPriceDiscount": Role.DOUBLE,
     "CarrierTrackingNumber": Role.TRIM,
 }
 HEADER_ROLES: Mapping[str, Role] = {
-    "SalesOrderID": Role.LONG,
-    "CustomerID": Role.LONG,
-    "ShipToAddressID": Role.LONG,
-    "BillToAddressID": Role.LONG,
-    "SalesPersonID": Role.LONG,
-    "TerritoryID": Role.LONG,
+    "SalesOrderID": Role.KEY,
+    "CustomerID": Role.KEY,
+    "ShipToAddressID": Role.KEY,
+    "BillToAddressID": Role.KEY,
+    "SalesPersonID": Role.KEY,
+    "TerritoryID": Role.KEY,
     "OrderDate": Role.TIMESTAMP,
     "ShipDate": Role.TIMESTAMP,
     "SubTotal": Role.DOUBLE,
@@ -67,6 +68,7 @@ HEADER_ROLES: Mapping[str, Role] = {
     "AccountNumber": Role.TRIM,
 }
 
+# Column names of the published tables.
 ORDER_KEY = "SalesOrderID"
 PRODUCT_KEY = "ProductID"
 LEAD = "LeadTimeInBusinessDays"
@@ -89,18 +91,39 @@ class RawTables:
 # ---------------------------------------------------------------- store layer
 
 
+# Internal column: what tells products apart.
+_DEDUPE_KEY = "__tidemark_product"
+
+
+def product_key(raw_id: "Column | str") -> Column:
+    """What tells products apart: the typed id, or the trimmed text where it is no id (NULL: a product of its own)."""
+    text = F.col(raw_id) if isinstance(raw_id, str) else raw_id
+    exact = typed(text, Role.KEY).cast("string")
+    return F.coalesce(exact, F.concat(F.lit("text:"), F.trim(text)))
+
+
+def typed_products(raw: DataFrame) -> DataFrame:
+    """Typed products, duplicates included, with the column that tells them apart last."""
+    return apply_roles(raw.withColumn(_DEDUPE_KEY, product_key(PRODUCT_KEY)), PRODUCT_ROLES)
+
+
 def store_products(raw: DataFrame) -> DataFrame:
-    """Typed products, one row per ProductID.
+    """Typed products, one row per product.
 
     Ids are typed before de-duplication, so ' 1', '01' and '1' are one
-    product. Among duplicates the row with a category is kept; remaining ties
-    are broken by the other columns, so the choice is deterministic.
+    product; ids that are no integers ('AB-1', '12.5', overflow) stay apart by
+    their text, with a NULL ProductID. Among duplicates the row with a category
+    is kept; remaining ties are broken by the other columns, so the choice is
+    deterministic.
     """
-    typed = apply_roles(raw, PRODUCT_ROLES)
-    prefer = (
-        [F.when(is_blank("ProductCategoryName"), 1).otherwise(0)] if "ProductCategoryName" in typed.columns else []
-    )
-    return keep_first_by_preference(typed, [PRODUCT_KEY], prefer)
+    rows = typed_products(raw)
+    prefer = [F.when(is_blank("ProductCategoryName"), 1).otherwise(0)] if "ProductCategoryName" in rows.columns else []
+    return keep_first_by_preference(rows, [_DEDUPE_KEY], prefer).drop(_DEDUPE_KEY)
+
+
+def product_profile(raw: DataFrame) -> DataFrame:
+    """Row counts of the raw products and of what de-duplication removes."""
+    return duplicate_profile(typed_products(raw), PRODUCT_KEY, _DEDUPE_KEY)
 
 
 def store_detail(raw: DataFrame) -> DataFrame:
@@ -133,15 +156,10 @@ def publish_product(products: DataFrame) -> DataFrame:
     return products.select(*cols)
 
 
-def publish_orders(detail: DataFrame, header: DataFrame, options: PipelineOptions = PipelineOptions()) -> DataFrame:
-    """Order lines joined to their header with lead time and prices.
-
-    Columns: key, detail columns, header columns (Freight renamed
-    TotalOrderFreight in place), LeadTimeInBusinessDays, the two price
-    formulas, their percent gap, and the official price of the chosen mode.
-    """
-    joined = lines_with_header(detail, header, ORDER_KEY)
-    base = [F.col(c).alias(FREIGHT_OUT) if c == FREIGHT_IN else F.col(c) for c in joined.columns]
+def measured_orders(joined: DataFrame, options: PipelineOptions = PipelineOptions(), freight: str = FREIGHT_IN) -> DataFrame:
+    """Joined order lines with lead time, both price formulas, their percent
+    gap and the official price; Freight is renamed in place."""
+    base = [F.col(c).alias(FREIGHT_OUT) if c == freight else F.col(c) for c in joined.columns]
     spec = line_price_amount("OrderQty", "UnitPrice", "UnitPriceDiscount")
     correct = line_price_rate("OrderQty", "UnitPrice", "UnitPriceDiscount")
     measured = joined.select(
@@ -157,19 +175,58 @@ def publish_orders(detail: DataFrame, header: DataFrame, options: PipelineOption
     )
 
 
-# ------------------------------------------------------------------- analysis
+def publish_orders(detail: DataFrame, header: DataFrame, options: PipelineOptions = PipelineOptions()) -> DataFrame:
+    """Order lines joined to their header with lead time and prices.
+
+    Columns: key, detail columns, header columns (Freight renamed
+    TotalOrderFreight in place; a header column that the detail has too is
+    prefixed ``Header_``), LeadTimeInBusinessDays, the two price formulas,
+    their percent gap, and the official price of the chosen mode.
+    """
+    return measured_orders(lines_with_header(detail, header, ORDER_KEY), options)
+
 
+# Columns that the published tables must carry.
+REQUIRED_ORDER_COLUMNS = ("LeadTimeInBusinessDays", "TotalLineExtendedPrice", "TotalOrderFreight")
+REQUIRED_PRODUCT_COLUMNS = ("ProductID", "Color", "ProductCategoryName")
+REQUIRED_TOP_COLUMNS = ("OrderYear", "Color", "Revenue")
+REQUIRED_LEAD_COLUMNS = ("ProductCategoryName", "AvgLeadTimeInBusinessDays")
 
-def orders_with_product(
-    orders: DataFrame,
+
+def integrity_checks(
+    detail: DataFrame,
+    header: DataFrame,
     product: DataFrame,
-    product_row_bound: "int | None" = None,
-    max_broadcast_rows: "int | None" = None,
+    top: DataFrame,
+    lead: DataFrame,
+    options: PipelineOptions = PipelineOptions(),
+    answers: "DataFrame | None" = None,
 ) -> DataFrame:
+    """Whole-table checks of the published orders, the product table and both
+    answers in one frame. The order lines are read once; pass the written
+    answers (``answers``: a frame of ``check, violations, checked``) to check
+    their rows too, else only their columns are checked, at plan time."""
+    lines = lines_with_header(detail, numbered_headers(header, ORDER_KEY), ORDER_KEY, how="left")
+    out = order_checks(measured_orders(lines, options), required=REQUIRED_ORDER_COLUMNS)
+    out = out.unionByName(table_checks("publish_product", product, REQUIRED_PRODUCT_COLUMNS))
+    if answers is not None:
+        return out.unionByName(answers)
+    plan_time = [
+        ("analysis_top_color_by_year_required_columns", top, REQUIRED_TOP_COLUMNS),
+        ("analysis_avg_lead_by_category_required_columns", lead, REQUIRED_LEAD_COLUMNS),
+    ]
+    rows = [F.struct(F.lit(n).alias("check"), F.lit(len(missing_columns(df, need))).cast("long").alias("violations"), F.lit(len(need)).cast("long").alias("checked")) for n, df, need in plan_time]
+    return out.unionByName(detail.sparkSession.range(1).select(F.inline(F.array(*rows))))
+
+
+# ------------------------------------------------------------------- analysis
+
+
+def orders_with_product(orders: DataFrame, product: DataFrame) -> DataFrame:
     """Order lines with product Color and category (left join: lines without a
     product keep NULLs, distinct from the 'N/A' colour) and the order year."""
     dim = product.select(PRODUCT_KEY, "Color", "ProductCategoryName")
-    out = join_dimension(orders, dim, PRODUCT_KEY, "left", product_row_bound, max_broadcast_rows)
+    out = join_dimension(orders, dim, PRODUCT_KEY, "left")
     return out.withColumn("OrderYear", F.year("OrderDate"))
 
 
@@ -228,8 +285,8 @@ class Layers:
     de-duplication or the analysis aggregates.
     """
 
-    def __init__(self, raw: RawTables, options: PipelineOptions, product_row_bound: "int | None") -> None:
-        self.raw, self.options, self.product_row_bound = raw, options, product_row_bound
+    def __init__(self, raw: RawTables, options: PipelineOptions) -> None:
+        self.raw, self.options = raw, options
 
     @cached_property
     def store_products(self) -> DataFrame:
@@ -253,7 +310,7 @@ class Layers:
 
     @cached_property
     def orders_with_product(self) -> DataFrame:
-        return orders_with_product(self.publish_orders, self.publish_product, self.product_row_bound)
+        return orders_with_product(self.publish_orders, self.publish_product)
 
     @cached_property
     def top_color_by_year(self) -> DataFrame:
@@ -269,8 +326,6 @@ class Layers:
         return split_answers(grouped_answers(self.orders_with_product))
 
 
-def build(
-    raw: RawTables, options: PipelineOptions = PipelineOptions(), product_row_bound: "int | None" = None
-) -> Layers:
+def build(raw: RawTables, options: PipelineOptions = PipelineOptions()) -> Layers:
     """All layers as lazy DataFrames from the raw tables (see :class:`Layers`)."""
-    return Layers(raw, options, product_row_bound)
+    return Layers(raw, options)

@@ -2,20 +2,22 @@
 
 On a cluster the caller owns the session; the library only reads settings
 from it. Locally we pin what the operators assume: UTC session time zone
-(wall-clock timestamps are used throughout anyway), adaptive execution with
-skew-join splitting, and a shared checkpoint folder if none is configured.
+(wall-clock timestamps are used throughout anyway) and adaptive execution with
+skew-join splitting. Callers that write layers name their checkpoint folder.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def local_session(
-    app: str = "tidemark", cores: "int | str" = "*", shuffle_partitions: "int | None" = None
+    app: str = "tidemark",
+    cores: "int | str" = "*",
+    shuffle_partitions: "int | None" = None,
+    checkpoint_dir: "str | None" = None,
 ) -> SparkSession:
     n = (os.cpu_count() or 8) if cores == "*" else int(cores)
     builder = (
@@ -30,24 +32,8 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session: ``spark.checkpoint.dir`` when the
-    cluster names one, else the context's folder; a scratch folder is set
-    only when neither exists (local runs and tests)."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured
-    current = sc.getCheckpointDir()
-    if current is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
-        current = sc.getCheckpointDir()
-    return current

@@ -16,12 +16,13 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None =
     """Read CSV with a header row, every column as text (no inference).
 
     With ``columns`` the schema is declared up front and no job is needed to
-    read the header; otherwise Spark takes names from the header and, with
-    inference off, types every column as string. Empty fields read as NULL.
+    read the header; a file whose header has other names or another order
+    fails when it is read. Otherwise Spark takes names from the header and,
+    with inference off, types every column as string. Empty fields read as NULL.
     """
     reader = spark.read.option("header", "true").option("inferSchema", "false").option("mode", "PERMISSIVE")
     if columns is not None:
-        reader = reader.schema(all_string_schema(columns))
+        reader = reader.schema(all_string_schema(columns)).option("enforceSchema", "false")
     return reader.csv(path)
 
 

@@ -3,15 +3,17 @@
 The driver tables are clean and typed; the pipeline starts from raw text. The
 raw views render every column as text, the way a CSV export would, and inject
 deterministic defects chosen by key arithmetic (padding, blanks, bad numbers,
-odd flag words, month-only dates, a duplicate of every product). No row is dropped:
+odd flag words, month-only and zoned dates, unmatched, missing and repeated
+keys, NaN, infinite and huge prices, negative amounts, ids that are none, a
+duplicate of every product). No row is dropped:
 every view covers its whole source table, so work grows with the data.
 
 Role mapping:
   order detail  <- lineitem   (l_orderkey, l_linenumber, l_quantity, l_partkey,
                                l_extendedprice, l_discount)
   order header  <- orders     (o_orderkey, o_orderdate, o_custkey, o_totalprice
-                               as freight) plus ShipDate = the latest
-                               l_shipdate of the order's lines
+                               as freight) plus ShipDate = the order date and
+                               -1 to 9 days, by key
   product       <- part       (colour and subcategory from the words of p_name,
                                category from p_type)
 
@@ -20,14 +22,11 @@ The oracle SQL builds the same views independently (see ``plans.oracle``).
 
 from __future__ import annotations
 
-import weakref
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.scan import read_parquet_spread
-
 
 # Text variants of the flag column, cycled by key (index = key % 7).
 FLAG_TEXTS = ("TRUE", "false", "True", "FALSE", "1", " true", None)
@@ -89,13 +88,28 @@ def _lookup(word: Column, table: dict[str, str]) -> Column:
 
 
 def raw_detail(lineitem: DataFrame) -> DataFrame:
-    k = F.col("l_orderkey")
+    k, part = F.col("l_orderkey"), F.col("l_partkey")
+    price = _text(F.col("l_extendedprice"))
+    line, shipped = F.pmod(k + F.col("l_linenumber"), F.lit(1009)), F.year("l_shipdate")
     return lineitem.select(
-        _text(k).alias("SalesOrderID"),
+        F.when(F.pmod(k, F.lit(499)) == 3, F.lit(None).cast("string"))
+        .when(F.pmod(k, F.lit(491)) == 5, F.concat(F.lit("-"), _text(k)))
+        .otherwise(_text(k))
+        .alias("SalesOrderID"),
         _text(F.col("l_linenumber")).alias("SalesOrderDetailID"),
-        _text(F.col("l_quantity")).alias("OrderQty"),
-        _text(F.col("l_partkey")).alias("ProductID"),
-        _text(F.col("l_extendedprice")).alias("UnitPrice"),
+        F.concat(F.when(F.pmod(k, F.lit(53)) == 0, F.lit("-")).otherwise(F.lit("")), _text(F.col("l_quantity"))).alias("OrderQty"),
+        F.when(F.pmod(part, F.lit(97)) == 1, F.concat(F.lit("-"), _text(part)))
+        .when(F.pmod(part, F.lit(97)) == 2, F.lit(None).cast("string"))
+        .when(F.pmod(part, F.lit(97)) == 3, F.concat(_text(part), F.lit(".0")))
+        .otherwise(_text(part))
+        .alias("ProductID"),
+        F.when((line == 1) & (shipped == 1996), F.lit("NaN"))
+        .when((line == 2) & (shipped == 1997), F.lit("Infinity"))
+        .when((line == 3) & (shipped == 1998), F.lit("1e20"))
+        .when(F.pmod(k, F.lit(307)) == 0, F.lit("0.01"))
+        .when(F.pmod(k, F.lit(5)) == 0, F.concat(price, F.lit("1379")))
+        .otherwise(price)
+        .alias("UnitPrice"),
         F.when(F.pmod(k, F.lit(211)) == 0, F.lit("n/a"))
         .otherwise(_text(F.col("l_discount") + F.lit(0.0)))
         .alias("UnitPriceDiscount"),
@@ -106,25 +120,36 @@ def raw_detail(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def raw_header(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    ship = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("ship_ts"))
-    o = orders.join(ship, on="o_orderkey", how="left")
+def raw_header(orders: DataFrame) -> DataFrame:
+    """Headers; every 401st comes twice. Ships -1 to 9 days after the order, by key."""
     k = F.col("o_orderkey")
     od = F.col("o_orderdate")
+    copies = F.when(F.pmod(k, F.lit(401)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    days = F.make_dt_interval(days=(F.pmod(k, F.lit(11)) - 1).cast("int"))
+    o = orders.select("*", F.explode(copies).alias("copy"), (od.cast("timestamp_ntz") + days).alias("ship_ts"))
+    ship = F.col("ship_ts")
     return o.select(
         F.when(F.pmod(k, F.lit(13)) == 0, F.concat(F.lit(" "), _text(k), F.lit(" ")))
         .otherwise(_text(k))
         .alias("SalesOrderID"),
         F.when(F.pmod(k, F.lit(97)) == 0, F.substring(_day_text(od), 1, 7))
+        .when(F.pmod(k, F.lit(113)) == 4, F.concat(_day_text(od), F.lit("T23:30:00-05:00")))
         .when(F.pmod(k, F.lit(7)) == 0, _day_text(od))
         .otherwise(_ts_text(od))
         .alias("OrderDate"),
-        _ts_text(F.col("ship_ts")).alias("ShipDate"),
+        F.when(F.pmod(k, F.lit(131)) == 7, F.lit("soon"))
+        .when(F.pmod(k, F.lit(127)) == 9, F.concat(_day_text(ship), F.lit(" 01:30:00+02:30")))
+        .otherwise(_ts_text(ship))
+        .alias("ShipDate"),
         _cycle(k, FLAG_TEXTS).alias("OnlineOrderFlag"),
         F.concat(F.lit("  AW"), F.lpad(_text(F.col("o_custkey")), 8, "0"), F.lit(" ")).alias("AccountNumber"),
-        _text(F.col("o_custkey")).alias("CustomerID"),
+        F.concat(_text(F.col("o_custkey")), F.when(F.pmod(k, F.lit(71)) == 0, F.lit(".5")).otherwise(F.lit(""))).alias("CustomerID"),
         F.substring(F.col("o_orderpriority"), 1, 1).alias("SalesPersonID"),
-        F.when(F.pmod(k, F.lit(89)) == 0, F.lit("n/a")).otherwise(_text(F.col("o_totalprice"))).alias("Freight"),
+        F.when(F.col("copy") == 1, F.lit("1.5"))
+        .when(F.pmod(k, F.lit(89)) == 0, F.lit("n/a"))
+        .when(F.pmod(k, F.lit(83)) == 2, F.concat(F.lit("-"), _text(F.col("o_totalprice"))))
+        .otherwise(_text(F.col("o_totalprice")))
+        .alias("Freight"),
         F.concat(F.lit(" PO"), F.col("o_orderstatus"), _text(k), F.lit(" ")).alias("PurchaseOrderNumber"),
     )
 
@@ -135,8 +160,9 @@ def _subcategory(p_name: Column, key: Column) -> Column:
 
 
 def raw_products(part: DataFrame) -> DataFrame:
+    """Two rows for every part, and for some a third with an id that is none; the parts are read once."""
     k, name, size = F.col("p_partkey"), F.col("p_name"), F.col("p_size")
-    current = part.select(
+    current = F.struct(
         _text(k).alias("ProductID"),
         F.concat(F.lit(" "), name, F.lit(" ")).alias("ProductDesc"),
         F.col("p_brand").alias("ProductNumber"),
@@ -165,41 +191,40 @@ def raw_products(part: DataFrame) -> DataFrame:
         .alias("ProductCategoryName"),
         _subcategory(name, k).alias("ProductSubCategoryName"),
     )
-    # Every part also appears as a second, older product row (ids padded, so
-    # they collide only after typing); de-duplication must pick one.
-    older = part.select(
-        F.concat(F.lit(" "), _text(k)).alias("ProductID"),
-        F.concat(name, F.lit(" (old)")).alias("ProductDesc"),
-        F.col("p_brand").alias("ProductNumber"),
-        F.lit("false").alias("MakeFlag"),
-        F.lit("Silver").alias("Color"),
-        _text(size).alias("SafetyStockLevel"),
-        F.lit("0").alias("ReorderPoint"),
-        F.lit("1.5").alias("StandardCost"),
-        _text(F.col("p_retailprice")).alias("ListPrice"),
-        _text(size).alias("Size"),
-        F.lit("CM ").alias("SizeUnitMeasureCode"),
-        F.lit(None).cast("string").alias("Weight"),
-        F.lit("LB").alias("WeightUnitMeasureCode"),
-        F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string"))
-        .otherwise(F.lit("Legacy"))
-        .alias("ProductCategoryName"),
-        _subcategory(name, k).alias("ProductSubCategoryName"),
-    )
-    return current.unionByName(older)
-
-
-# One scan plan per session and path: the driver tables are read-only, so the
-# file listing, footer read and split check are done once per session (plans
-# only; no data or results are kept).
-_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
+    def older(product_id: Column, kind: str) -> Column:
+        return F.struct(
+            product_id.alias("ProductID"),
+            F.concat(name, F.lit(f" ({kind})")).alias("ProductDesc"),
+            F.col("p_brand").alias("ProductNumber"),
+            F.lit("false").alias("MakeFlag"),
+            F.lit("Silver").alias("Color"),
+            _text(size).alias("SafetyStockLevel"),
+            F.lit("0").alias("ReorderPoint"),
+            F.lit("1.5").alias("StandardCost"),
+            _text(F.col("p_retailprice")).alias("ListPrice"),
+            _text(size).alias("Size"),
+            F.lit("CM ").alias("SizeUnitMeasureCode"),
+            F.lit(None).cast("string").alias("Weight"),
+            F.lit("LB").alias("WeightUnitMeasureCode"),
+            F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string"))
+            .otherwise(F.lit("Legacy"))
+            .alias("ProductCategoryName"),
+            _subcategory(name, k).alias("ProductSubCategoryName"),
+        )
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    per_session = _SCANS.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = read_parquet_spread(spark, path)
-    return per_session[path]
+    # Every part also appears as a second, older product row (ids padded, so
+    # they collide only after typing); de-duplication must pick one. Ids that
+    # type to nothing must all survive it.
+    turn = F.pmod(k, F.lit(59))
+    odd = (
+        F.when(turn == 0, older(F.concat(F.lit(" AB-"), _text(k)), "code"))
+        .when(turn == 1, older(F.concat(F.lit("9999999999999999999"), _text(k)), "long"))
+        .when(turn == 2, older(F.concat(_text(k), F.lit(".5")), "half"))
+        .when(turn == 3, older(F.lit(None).cast("string"), "none"))
+    )
+    rows = F.array(current, older(F.concat(F.lit(" "), _text(k)), "old"), odd)
+    return part.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
 class DriverRawTables:
@@ -210,38 +235,21 @@ class DriverRawTables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
-    @cached_property
-    def _lineitem(self) -> DataFrame:
-        return _scan(self.spark, f"{self.sf_dir}/lineitem.parquet")
+    def _scan(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
 
     @cached_property
     def products(self) -> DataFrame:
-        return raw_products(_scan(self.spark, f"{self.sf_dir}/part.parquet"))
+        return raw_products(self._scan("part"))
 
     @cached_property
     def detail(self) -> DataFrame:
-        return raw_detail(self._lineitem)
+        return raw_detail(self._scan("lineitem"))
 
     @cached_property
     def header(self) -> DataFrame:
-        return raw_header(_scan(self.spark, f"{self.sf_dir}/orders.parquet"), self._lineitem)
+        return raw_header(self._scan("orders"))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> DriverRawTables:
     return DriverRawTables(spark, sf_dir)
-
-
-_PART_ROWS: "weakref.WeakKeyDictionary[SparkSession, dict[str, int]]" = weakref.WeakKeyDictionary()
-
-
-def product_row_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on product rows: each part yields two raw rows.
-
-    Counting a Parquet table without filters reads only file metadata; the
-    read-only table is counted once per session.
-    """
-    path = f"{sf_dir.rstrip('/')}/part.parquet"
-    per_session = _PART_ROWS.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path).count()
-    return 2 * per_session[path]
