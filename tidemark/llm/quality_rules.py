@@ -111,13 +111,13 @@ def _shouts(f: Features, rows: np.ndarray) -> np.ndarray:
 
 
 def _few_letters(f: Features, rows: np.ndarray) -> np.ndarray:
-    """Under 60 % of the characters of words are letters, taking every byte beyond ASCII for one."""
+    """Under 40 % of the characters of words are letters, taking every byte beyond ASCII for one."""
     out = []
     for k in rows:
         code = np.frombuffer(f.bodies[k], dtype=np.uint8)
         folded = code | 0x20
         letters = np.count_nonzero(((folded >= 97) & (folded <= 122)) | (code >= 0xC0))
-        out.append(100 * letters < 60 * f.word_chars[k])
+        out.append(100 * letters < 40 * f.word_chars[k])
     return np.array(out, dtype=bool)
 
 
@@ -125,7 +125,7 @@ def _few_letters(f: Features, rows: np.ndarray) -> np.ndarray:
 RULES = (
     Rule("word_length", lambda f, r: (f.word_chars[r] > 20 * f.n_words[r]) | (f.word_chars[r] < 2 * f.n_words[r])),
     Rule("symbols", lambda f, r: 100 * f.n_symbols[r] > 30 * f.n_words[r]),
-    Rule("duplicate_lines", lambda f, r: 100 * f.n_dup_lines[r] > 30 * f.n_lines[r]),
+    Rule("duplicate_lines", lambda f, r: 100 * f.n_dup_lines[r] > 70 * f.n_lines[r]),
     Rule("few_letters", _few_letters),
     Rule("capitals", _capitals),
     Rule("shouts", _shouts),
