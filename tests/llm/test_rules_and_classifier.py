@@ -1,0 +1,190 @@
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import kneser_ney, quality_rules
+
+
+def plain_counts(text):
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    many = {w for w, n in Counter(windows).items() if n > 1}
+    covered = {i + k for i, w in enumerate(windows) if w in many for k in range(5)}
+    lines, seen, dup = text.split("\n"), set(), 0
+    for line in lines:
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+@settings(max_examples=300, deadline=None, derandomize=True)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "é", "#x", "\n", " ", "\t", "😀", "a b c d e f", "\x1c", "\xa0"]), max_size=40), max_size=6))
+def test_base_counts_equal_brute_force(texts):
+    texts = [" ".join(t) if k % 2 else "".join(t) for k, t in enumerate(texts)]
+    f = quality_rules.features([t.encode() for t in texts])
+    got = list(zip(*(x.tolist() for x in (f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words))))
+    assert got == [plain_counts(t) for t in texts]
+
+
+def test_judge_awkward_rows(awkward, empty):
+    want = sorted(((r.doc_id, *plain_counts(r.text)) for r in awkward.collect()), key=str)
+    rows = quality_rules.judge(awkward).collect()
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows), key=str) == want
+    for r in rows:
+        assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
+        assert not (r.base_failed and r.kept) and r.kept == (r.rejected_by is None)
+    assert quality_rules.judge(empty).collect() == []
+
+
+def test_order_of_rules_changes_no_verdict(spark, awkward):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rules = quality_rules.RULES
+    a = {(r.doc_id, r.kept) for r in quality_rules.judge(docs, rules).collect()}
+    b = {(r.doc_id, r.kept) for r in quality_rules.judge(docs, rules[::-1], sample_rows=5).collect()}
+    assert a == b
+    order = quality_rules.cascade_order(docs, rules)
+    assert sorted(order) == sorted(r.name for r in rules)
+
+
+def test_cascade_puts_cheap_rejections_first(spark):
+    import time
+
+    def slow(f, rows):
+        time.sleep(0.02)
+        return np.ones(len(rows), dtype=bool)
+
+    rules = (
+        quality_rules.Rule("never", lambda f, r: np.zeros(len(r), dtype=bool)),
+        quality_rules.Rule("slow", slow),
+        quality_rules.Rule("fast", lambda f, r: f.n_words[r] > 0),
+    )
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert quality_rules.cascade_order(docs, rules) == ["fast", "slow", "never"]
+
+
+def test_passing_keeps_whole_rows(awkward):
+    kept = {(r.doc_id, r.body_hash) for r in quality_rules.judge(awkward).where("kept").select("doc_id", "body_hash").collect()}
+    rows = quality_rules.passing(awkward)
+    assert rows.schema == awkward.schema
+    assert {r.doc_id for r in rows.collect()} == {k for k, _ in kept}
+
+
+# ------------------------------------------------------------------ classifier
+
+
+def plain_symbols(text):
+    units = np.frombuffer((text or "").encode("utf-16-le"), dtype="<u2").tolist()
+    units = [0xFFFD if u < 2 else 32 if 9 <= u <= 13 else 48 if 48 <= u <= 57 else u for u in units]
+    return [0, 0, 0, *units, 1]
+
+
+class PlainModel:
+    """Interpolated modified Kneser-Ney, term by term."""
+
+    def __init__(self, texts):
+        counts = Counter()
+        for t in texts:
+            s = plain_symbols(t)
+            counts.update(tuple(s[i - 3 : i + 1]) for i in range(3, len(s)))
+        self.c = {4: dict(counts)}
+        for k in (3, 2, 1):
+            total, kinds = Counter(), Counter()
+            for g, n in self.c[k + 1].items():
+                total[g[1:]] += n
+                kinds[g[1:]] += 1
+            self.c[k] = {g: (total[g] if k > 1 and g[0] == 0 else kinds[g]) for g in kinds}
+        self.d, self.ctx = {}, {}
+        for k, table in self.c.items():
+            n = [sum(v == j for v in table.values()) for j in range(1, 5)]
+            if all(n):
+                y = n[0] / (n[0] + 2 * n[1])
+                self.d[k] = [max(0.05, min(j - (j + 1) * y * n[j] / n[j - 1], j - 0.05)) for j in (1, 2, 3)]
+            else:
+                self.d[k] = [0.5, 1.0, 1.5]
+            ctx = defaultdict(lambda: [0.0, 0.0])
+            for g, v in table.items():
+                ctx[g[:-1]][0] += v
+                ctx[g[:-1]][1] += self.d[k][min(v, 3) - 1]
+            self.ctx[k] = ctx
+
+    def p(self, gram):
+        if not gram:
+            return 1 / 65536
+        k, lower = len(gram), self.p(gram[1:])
+        if gram[:-1] not in self.ctx[k]:
+            return lower
+        total, spare = self.ctx[k][gram[:-1]]
+        v = self.c[k].get(gram, 0)
+        return ((v - self.d[k][min(v, 3) - 1] if v else 0) + spare * lower) / total
+
+    def perplexity(self, text):
+        s = plain_symbols(text)
+        return math.exp(-sum(math.log(self.p(tuple(s[i - 3 : i + 1]))) for i in range(3, len(s))) / (len(s) - 3))
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("doc_id < 60")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    return docs, labels
+
+
+def test_perplexities_equal_the_plain_model(spark, small):
+    docs, labels = small
+    good = {r.doc_id for r in labels.collect() if r.quality == 1 and r.toxic == 0}
+    rows = docs.collect()
+    models = {}
+    for lang in {r.lang for r in rows}:
+        mine = [r.text for r in rows if r.lang == lang and r.doc_id in good]
+        models[lang] = PlainModel(mine) if mine else None
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, labels).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        if models[r.lang]:
+            assert got[r.doc_id].perplexity == pytest.approx(models[r.lang].perplexity(r.text), rel=1e-9)
+        else:
+            assert got[r.doc_id].kept and got[r.doc_id].perplexity == pytest.approx(65536)
+
+
+def test_probabilities_sum_to_one(small):
+    docs, _ = small
+    model = PlainModel([r.text for r in docs.where("lang = 'es'").collect()][:3])
+    seen = [g[-1] for g in model.c[1]]
+    for context in list(model.ctx[4])[:5] + [(9, 9, 9)]:
+        known = sum(model.p((*context, s)) for s in seen)
+        other = next(x for x in range(5000, 6000) if x not in seen)
+        assert known + (65536 - len(seen)) * model.p((*context, other)) == pytest.approx(1)
+
+
+def test_classify_awkward_rows(spark, awkward, empty):
+    labels = spark.createDataFrame([(5, 1, 0), (5, 1, None), (6, 0, 0), (7, 1, 1), (None, 1, 0), (99, 1, 0), (4, None, None)], "doc_id bigint, quality int, toxic int")
+    rows = kneser_ney.classify(awkward, labels).collect()
+    assert len(rows) == awkward.count()
+    by = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert by[5].kept and by[7].kept and by[7].threshold is None and by[1].n == 1
+    assert all(r.perplexity > 0 for r in rows)
+    none = kneser_ney.classify(awkward, labels.limit(0)).collect()
+    assert len(none) == len(rows) and all(r.kept for r in none)
+    assert kneser_ney.classify(empty, labels).collect() == []
+    kept = kneser_ney.drop_rejected(awkward, kneser_ney.classify(awkward, labels))
+    assert kept.columns == awkward.columns
+    assert kept.count() == sum(r.kept for r in rows)
+
+
+def test_junk_is_told_from_prose_on_held_out_labels(spark):
+    """Half of the labels train the model; on the other half junk has the higher perplexities and prose is kept."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    seen = kneser_ney.classify(docs, labels.where("doc_id % 4 < 2")).join(labels.where("doc_id % 4 >= 2"), "doc_id").collect()
+    good = [r for r in seen if r.quality == 1]
+    bad = [r for r in seen if r.quality == 0]
+    assert np.mean([r.kept for r in good]) >= 0.97
+    ranks = np.mean([b.perplexity / b.threshold > g.perplexity / g.threshold for b in bad for g in good])
+    assert ranks >= 0.7
