@@ -85,10 +85,10 @@ def _strength(units: DataFrame) -> DataFrame:
     )
 
 
-def reputations(hosts: DataFrame, second_level: tuple[str, ...] = (), floor: float = FLOOR, deviations: float = DEVIATIONS) -> DataFrame:
+def reputations(hosts: DataFrame, second_level: tuple[str, ...] = (), deviations: float = DEVIATIONS) -> DataFrame:
     """``host, n, good, a, b, bound`` from ``host, n, good``, one row a host; ``bound`` is the posterior's upper bound of the good share.
 
-    Strengths and the corpus' share are single rows, so their cross joins add columns, not rows.
+    Strengths and the corpus' share are scalar subqueries.
     """
     host = F.col("host")
     hosts = hosts.select("host", "n", "good", domain_of(host, second_level).alias("domain"), suffix_of(host, second_level).alias("suffix"))
@@ -96,16 +96,13 @@ def reputations(hosts: DataFrame, second_level: tuple[str, ...] = (), floor: flo
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     corpus = suffixes.agg(((F.sum("good") + 1.0) / (F.sum("n") + 2.0)).alias("prior"))
 
-    def shrunk(units: DataFrame, of: DataFrame) -> DataFrame:
-        k = _strength(of)
-        return units.crossJoin(F.broadcast(k))  # one row
-
     mean = (F.col("good") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength"))
-    suffix_means = shrunk(suffixes.crossJoin(F.broadcast(corpus)), suffixes).select("suffix", mean.alias("prior"))
-    domain_means = shrunk(domains.join(suffix_means, "suffix"), domains).select("domain", mean.alias("prior"))
+    suffix_means = suffixes.withColumns({"prior": corpus.scalar(), "strength": _strength(suffixes).scalar()}).select("suffix", mean.alias("prior"))
+    domain_means = domains.join(suffix_means, "suffix").withColumn("strength", _strength(domains).scalar()).select("domain", mean.alias("prior"))
     a = F.col("good") + F.col("strength") * F.col("prior")
     b = F.col("n") - F.col("good") + F.col("strength") * (1 - F.col("prior"))
-    rows = shrunk(hosts.join(domain_means, "domain"), hosts).select("host", "n", "good", a.alias("a"), b.alias("b"))
+    rows = hosts.join(domain_means, "domain").withColumn("strength", _strength(hosts).scalar())
+    rows = rows.select("host", "n", "good", a.alias("a"), b.alias("b"))
     share = F.col("a") / (F.col("a") + F.col("b"))
     deviation = F.sqrt(share * (1 - share) / (F.col("a") + F.col("b") + 1))
     return rows.withColumn("bound", share + deviations * deviation)
@@ -138,7 +135,7 @@ def judge_urls(
         .groupBy("host")
         .agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
     )
-    bounds = reputations(hosts, second_level, floor, deviations).select(F.col("host").alias("r_host"), "bound")
+    bounds = reputations(hosts, second_level, deviations).select(F.col("host").alias("r_host"), "bound")
     found = rows.join(bounds, F.col("host") == F.col("r_host"), "left").withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("bound") < floor, F.lit("block")).otherwise(F.lit("allow"))
     return found.select("page_id", "host", "path", F.col("rule.name").alias("rule"), F.coalesce("rule.verdict", own).alias("verdict"))
