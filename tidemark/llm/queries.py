@@ -105,6 +105,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the rows of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": """
+        with d as (
+            select row_number() over () as k, doc_id, coalesce(text, '') as t,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as ws
+            from documents
+        ), windows as (
+            select k, i, array_to_string(list_slice(ws, i, i + 4), ' ') as w
+            from (select k, ws, unnest(range(1, len(ws) - 3)) as i from d where len(ws) >= 5)
+        ), many as (select k, w from windows group by k, w having count(*) > 1),
+        covered as (select k, count(distinct i + o) as n from windows join many using (k, w), range(5) r(o) group by k),
+        lines as (select k, unnest(string_split(t, chr(10))) as line from d),
+        l as (select k, count(*) as n_lines, count(*) - count(distinct line) as n_dup from lines where regexp_matches(line, '[^\\x20\\x09-\\x0D]') group by k),
+        f as (
+            select k, doc_id, t, len(ws)::bigint as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint as word_chars,
+                (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+                coalesce(n_dup, 0)::bigint as n_dup_lines, coalesce(n_lines, 0) as n_lines, coalesce(covered.n, 0)::bigint as n_repeat_words,
+                length(regexp_replace(t, '[^A-Za-z\\x{80}-\\x{10FFFF}]', '', 'g')) as letters,
+                length(regexp_replace(t, '[^A-Z]', '', 'g')) as upper, length(regexp_replace(t, '[^a-z]', '', 'g')) as lower,
+                len(regexp_extract_all(t, '[!?.]{2,}')) as shouts
+            from d left join l using (k) left join covered using (k)
+        ), b as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from f)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            not base_failed and word_chars between 2 * n_words and 20 * n_words and 100 * n_symbols <= 30 * n_words
+            and 100 * n_dup_lines <= 70 * n_lines and 100 * letters >= 40 * word_chars
+            and not (upper + lower >= 50 and 10 * upper > 6 * (upper + lower)) and 100 * shouts <= 15 * n_words as kept
+        from b
+    """,
     "op4_warc": """
         with p as (
             select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as k, sha1(coalesce(html, '')) as digest from pages
