@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize
 
 
-def _minima(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _with_minimum(edges: DataFrame) -> DataFrame:
+    """``u, v, m``: every edge with the smallest neighbour of ``u``.
+
+    The minima are a written table, so both sides of the join are plain
+    exchanges, whose large partitions adaptive execution can split; were they
+    the aggregate itself, all edges of a hub would meet in one task.
+    """
+    return edges.join(materialize(edges.groupBy("u").agg(F.min("v").alias("m")), "minima"), "u")
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -19,7 +25,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     ignored, repeats and both directions are fine, an empty table gives none.
     Alternating large-star and small-star steps: every step is an aggregation
     (partial before its shuffle, so a hub costs one row a task) and a join that
-    adaptive execution may split, and every round is a written table. The edge
+    adaptive execution may split, between written tables. The edge
     table never grows and nothing but its count and checksum reaches the driver.
     """
     current = materialize(
@@ -35,12 +41,10 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
         before = state
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (
-            both.join(_minima(both), "u")
-            .where("v > u")
-            .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = materialize(
+            _with_minimum(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), "large-stars"
         )
-        small = large.join(_minima(large), "u")
+        small = _with_minimum(large)
         current = materialize(
             small.select("u", F.col("m").alias("v"))
             .union(small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
