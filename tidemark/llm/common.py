@@ -40,7 +40,7 @@ def work_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a temporary one is set where a local session has none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-work-")
         spark.conf.set("spark.checkpoint.dir", folder)
