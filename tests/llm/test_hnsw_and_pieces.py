@@ -65,7 +65,8 @@ def test_recall_of_a_graph_against_brute_force():
     unit = hnsw._unit(np.concatenate([base + rng.normal(size=base.shape) * 0.08 for _ in range(10)]))
     graph, order = hnsw.Graph.build(unit, np.arange(len(unit)))
     assert len(graph.layers) > 1
-    graph = hnsw.Graph.from_bytes(graph.to_bytes())
+    graph, raw = hnsw.Graph.from_bytes(graph.to_bytes(unit[order]))
+    assert (raw == unit[order]).all()
     q, n = graph.within(unit, 0.95, hnsw.FIRST_BEAM)
     found = set(zip(q.tolist(), order[n].tolist()))
     truth = set(zip(*(x.tolist() for x in np.nonzero(unit @ unit.T >= 0.95))))

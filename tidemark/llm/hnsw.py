@@ -229,15 +229,17 @@ class Graph:
             rows, width = rows[full], 2 * width
         return np.concatenate(out_q) if out_q else rows, np.concatenate(out_n) if out_n else rows
 
-    def to_bytes(self) -> bytes:
+    def to_bytes(self, raw: np.ndarray) -> bytes:
+        """The graph with the given vectors (in the nodes' order) as they came, from which :meth:`from_bytes` makes it again."""
         out = io.BytesIO()
-        np.savez(out, vectors=self.vectors, **{f"layer{k}": x for k, x in enumerate(self.layers)})
+        np.savez(out, raw=raw, **{f"layer{k}": x for k, x in enumerate(self.layers)})
         return out.getvalue()
 
     @classmethod
-    def from_bytes(cls, blob: bytes) -> Graph:
+    def from_bytes(cls, blob: bytes) -> tuple[Graph, np.ndarray]:
         found = np.load(io.BytesIO(blob))
-        return cls(found["vectors"], [found[f"layer{k}"] for k in range(len(found.files) - 1)])
+        raw = found["raw"]
+        return cls(_unit(raw).astype(np.float32), [found[f"layer{k}"] for k in range(len(found.files) - 1)]), raw
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -286,7 +288,9 @@ def build_index(classes: DataFrame, shards: int) -> DataFrame:
         for d, parts in sorted(held.items()):
             ids, unit = np.concatenate([p[0] for p in parts]), _unit(np.concatenate([p[1] for p in parts]))
             graph, order = Graph.build(unit, ids)
-            blob = graph.to_bytes()
+            raw = np.concatenate([p[1] for p in parts])[order]
+            single = raw.astype(np.float32)
+            blob = graph.to_bytes(single if (single == raw).all() else raw)
             for number, at in enumerate(range(0, len(blob), INDEX_CHUNK)):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -305,7 +309,11 @@ def build_index(classes: DataFrame, shards: int) -> DataFrame:
 
 
 def query_index(index: DataFrame, queries: DataFrame, shards: int, rows: int, least: float, width: int) -> DataFrame:
-    """``a, b`` of all found pairs of different classes near the threshold: ``a`` of ``queries`` (about ``rows``), ``b`` of any shard."""
+    """``a, b`` of all found links of different classes: ``a`` of ``queries`` (about ``rows``), ``b`` of any shard.
+
+    What the graphs find near the threshold is verified in the same task, in
+    double precision and from the vectors as they came, so only links move.
+    """
     blocks = max(1, math.ceil(rows / QUERY_ROWS))
     asked = queries.select("class_id", "dims", "v").withColumn("block", F.pmod(F.shiftright("class_id", 20), F.lit(blocks)).cast("int"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
@@ -320,11 +328,14 @@ def query_index(index: DataFrame, queries: DataFrame, shards: int, rows: int, le
         for d in np.intersect1d(dims, graph_dims):
             part = left.filter(pa.array(dims == d))
             chunks = right.filter(pa.array(graph_dims == d)).sort_by("chunk_no")
-            graph = Graph.from_bytes(b"".join(chunks.column("blob").to_pylist()))
+            graph, raw = Graph.from_bytes(b"".join(chunks.column("blob").to_pylist()))
             nodes = np.frombuffer(chunks.column("class_ids")[0].as_py(), dtype="<i8")
             ids = part.column("class_id").to_numpy()
-            q, n = graph.within(_unit(_matrix(part.column("v"))), least - SLACK, width)
-            a, b = ids[q], nodes[n]
+            unit = _unit(_matrix(part.column("v")))
+            q, n = graph.within(unit, least - SLACK, width)
+            near = [np.einsum("ij,ij->i", unit[q[k : k + 50_000]], _unit(raw[n[k : k + 50_000]])) >= least for k in range(0, len(q), 50_000)]
+            good = np.concatenate(near) if near else np.zeros(0, dtype=bool)
+            a, b = ids[q[good]], nodes[n[good]]
             out_a.append(a[a != b])
             out_b.append(b[a != b])
         return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
@@ -333,26 +344,6 @@ def query_index(index: DataFrame, queries: DataFrame, shards: int, rows: int, le
     return both.applyInArrow(search, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Distinct ``a < b`` of ``pairs`` whose cosine in double precision is ``least`` or more."""
-    unique = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    left = classes.select(F.col("class_id").alias("a"), F.col("v").alias("va"))
-    right = classes.select(F.col("class_id").alias("b"), F.col("v").alias("vb"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                x, y = batch.column("va"), batch.column("vb")
-                good = np.zeros(batch.num_rows, dtype=bool)
-                sizes = np.array([len(r) for r in x])
-                for d in np.unique(sizes):
-                    rows = np.flatnonzero(sizes == d)
-                    good[rows] = np.einsum("ij,ij->i", _unit(_matrix(x.take(pa.array(rows)))), _unit(_matrix(y.take(pa.array(rows))))) >= least
-                yield batch.select(["a", "b"]).filter(pa.array(good))
-
-    return unique.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a bigint, b bigint")
-
-
 def brute_force(classes: DataFrame, queries: list, least: float) -> DataFrame:
     """``a, b``: links of a few given query rows against all classes, block by block."""
     by_dims: dict[int, list] = {}
@@ -413,7 +404,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, shards: int | None = N
     if total:
         index = build_index(classes, shards)
         width = audited_beam(index, classes, shards, total, least)
-        links = materialize(verified(query_index(index, classes, shards, total, least, width), classes, least), "links")
+        found = query_index(index, classes, shards, total, least, width)
+        links = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     else:
         links = rows.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")).limit(0)
     roots = connected_components(links).select(F.col("node").alias("class_id"), "root")
