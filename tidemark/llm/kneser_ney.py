@@ -152,23 +152,28 @@ def discounts(counts: DataFrame) -> DataFrame:
     return rows.select("lang", *[one(k) for k in (1, 2, 3)])
 
 
-def contexts(counts: DataFrame) -> DataFrame:
-    """``lang, context, total`` and the mass ``spare`` that interpolation hands to the order below."""
-    table = counts.join(discounts(counts), "lang").groupBy("lang", _context("gram").alias("context"))
+def _discounted(counts: DataFrame, discount: DataFrame) -> DataFrame:
+    """``counts`` with what each n-gram's count loses (``taken``)."""
     taken = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return table.agg(F.sum("c").cast("double").alias("total"), F.sum(taken).alias("spare"))
+    return counts.join(discount, "lang").select("lang", "gram", "c", taken.alias("taken"))
 
 
 def train(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Count and context tables of the orders 1 to 4 from all rows ``lang, text`` of trusted documents."""
+    """Count and context tables of the orders 1 to 4 from all rows ``lang, text`` of trusted documents.
+
+    Counts are ``lang, gram, kept`` (less the discount); contexts are ``lang,
+    context, total`` and the mass ``spare`` that interpolation hands to the
+    order below. Discounts are a written table of one row a language: Spark
+    broadcasts it by its size, or splits the large languages of the join.
+    """
     counts = {ORDER: materialize(gram_counts(trusted), "kn-counts")}
     for order in range(ORDER - 1, 0, -1):
         counts[order] = materialize(lower_counts(counts[order + 1], order), "kn-counts")
     out = []
     for order in range(1, ORDER + 1):
-        c = counts[order].join(discounts(counts[order]), "lang")
-        less = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        out.append((c.select("lang", "gram", (F.col("c") - less).alias("kept")), materialize(contexts(counts[order]), "kn-contexts")))
+        rows = _discounted(counts[order], materialize(discounts(counts[order]), "kn-discounts"))
+        context = rows.groupBy("lang", _context("gram").alias("context")).agg(F.sum("c").cast("double").alias("total"), F.sum("taken").alias("spare"))
+        out.append((rows.select("lang", "gram", (F.col("c") - F.col("taken")).alias("kept")), materialize(context, "kn-contexts")))
     return out
 
 
@@ -287,6 +292,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
     model = train(rows.where("trusted"))
     found = materialize(scored(rows, model), "kn-scored")
     limits = found.where("trusted").groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
+    limits = materialize(limits, "kn-limits")  # a row a language; apart from the aggregate, so that large languages can be split
     limit = (F.col("threshold") * F.exp(SHORT / F.sqrt("n"))).alias("threshold")
     rows = found.join(limits, "lang", "left").select("doc_id", "body_hash", "lang", "n", "perplexity", limit)
     return rows.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
