@@ -153,6 +153,18 @@ def test_perplexities_equal_the_plain_model(spark, small):
             assert got[r.doc_id].kept and got[r.doc_id].perplexity == pytest.approx(65536)
 
 
+def test_labels_of_any_number_all_count(spark, small):
+    """Beyond a million good labels every trusted document still trains the model and sets its language's threshold."""
+    docs, labels = small
+    many = labels.select("doc_id", "quality", "toxic").union(spark.range(10_000_000, 11_100_000).selectExpr("id", "1", "0"))
+    few = {r.doc_id: (r.perplexity, r.threshold) for r in kneser_ney.classify(docs, labels).collect()}
+    got = {r.doc_id: (r.perplexity, r.threshold) for r in kneser_ney.classify(docs, many).collect()}
+    assert got.keys() == few.keys()
+    for k, (perplexity, threshold) in got.items():
+        assert perplexity == pytest.approx(few[k][0], rel=1e-9)
+        assert threshold == (None if few[k][1] is None else pytest.approx(few[k][1], rel=1e-9))
+
+
 def test_probabilities_sum_to_one(small):
     docs, _ = small
     model = PlainModel([r.text for r in docs.where("lang = 'es'").collect()][:3])

@@ -24,8 +24,6 @@ ORDER = 4
 BEGIN, END, OTHER = 0, 1, 0xFFFD
 #: Symbols that the base distribution spreads over.
 ALPHABET = 1 << 16
-#: Most labelled documents whose text is trusted; their ids are broadcast (8 MB). Beyond it a hash picks that share.
-MAX_LABELS = 1_000_000
 #: Text bytes of a block, about.
 BLOCK_BYTES = 48 << 20
 #: A document is rejected if its perplexity is over the language's quantile of trusted text times the margin,
@@ -203,31 +201,33 @@ def _language(docs: DataFrame) -> Column:
     return F.coalesce(F.col("lang"), F.lit("")) if "lang" in docs.columns else F.lit("")
 
 
-def prepared(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
-    """``doc_id, body_hash, lang, trusted, text`` of every row. Trusted: labelled good and not toxic, by every label of the id."""
-    good = (
-        labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """``t_id``: ids labelled good and not toxic, by every label of the id."""
+    return (
+        labels.groupBy(F.col("doc_id").cast("bigint").alias("t_id"))
         .agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
-        .where("doc_id is not null and q = 1 and coalesce(t, 0) = 0")
-        .select(F.col("doc_id").alias("t_id"))
+        .where("t_id is not null and q = 1 and coalesce(t, 0) = 0")
+        .select("t_id")
     )
-    total = good.count()
-    if total > max_labels:
-        good = good.where(F.pmod(F.xxhash64("t_id"), F.lit(1 << 20)) < int((1 << 20) * (0.95 * max_labels / total)))
-    rows = docs.select(
+
+
+def prepared(docs: DataFrame) -> DataFrame:
+    """``doc_id, body_hash, lang, text`` of every row."""
+    return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         text_hash("text").alias("body_hash"),
         _language(docs).alias("lang"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    # at most max_labels longs, by the hash share above
-    return rows.join(F.broadcast(good), F.col("doc_id") == F.col("t_id"), "left").select(
-        "doc_id", "body_hash", "lang", F.col("t_id").isNotNull().alias("trusted"), "text"
-    )
+
+
+def only_trusted(rows: DataFrame, trusted: DataFrame) -> DataFrame:
+    """The rows whose ``doc_id`` is in ``trusted``: a join without a hint, so ids are broadcast only if they are few, and a large id is split."""
+    return rows.join(trusted, F.col("doc_id") == F.col("t_id")).drop("t_id")
 
 
 def scored(rows: DataFrame, model: list[tuple[DataFrame, DataFrame]], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, body_hash, lang, trusted, n, perplexity`` of every row of :func:`prepared`."""
+    """``doc_id, body_hash, lang, n, perplexity`` of every row of :func:`prepared`."""
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(spark.sparkContext.defaultParallelism, math.ceil(size / block_bytes))
@@ -269,11 +269,11 @@ def scored(rows: DataFrame, model: list[tuple[DataFrame, DataFrame]], block_byte
             sums[mine] = np.bincount(owner, weights=values[np.searchsorted(keys, found)], minlength=len(mine))
             lengths[mine] = size
         return pa.table(
-            {c: left.column(c) for c in ("doc_id", "body_hash", "lang", "trusted")} | {"n": pa.array(lengths), "perplexity": pa.array(np.exp(-sums / lengths))}
+            {c: left.column(c) for c in ("doc_id", "body_hash", "lang")} | {"n": pa.array(lengths), "perplexity": pa.array(np.exp(-sums / lengths))}
         )
 
     both = dealt.groupBy("block").cogroup(answers.groupBy("block"))
-    return both.applyInArrow(score, "doc_id bigint, body_hash bigint, lang string, trusted boolean, n bigint, perplexity double")
+    return both.applyInArrow(score, "doc_id bigint, body_hash bigint, lang string, n bigint, perplexity double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
@@ -288,10 +288,11 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
     ``doc_id`` is never labelled; other columns are ignored; without any labels
     all rows are kept; an empty table gives an empty result.
     """
-    rows = prepared(docs, labels)
-    model = train(rows.where("trusted"))
+    rows = prepared(docs)
+    trusted = materialize(trusted_ids(labels), "kn-trusted")
+    model = train(only_trusted(rows.select("doc_id", "lang", "text"), trusted))
     found = materialize(scored(rows, model), "kn-scored")
-    limits = found.where("trusted").groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
+    limits = only_trusted(found, trusted).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
     limits = materialize(limits, "kn-limits")  # a row a language; apart from the aggregate, so that large languages can be split
     limit = (F.col("threshold") * F.exp(SHORT / F.sqrt("n"))).alias("threshold")
     rows = found.join(limits, "lang", "left").select("doc_id", "body_hash", "lang", "n", "perplexity", limit)
