@@ -81,6 +81,45 @@ def test_beams_widen_over_a_large_group():
     assert np.bincount(q, minlength=10).min() >= 690
 
 
+def test_audit_is_never_empty(spark):
+    """Without any link the nearest others are asked for, and the beam widens until they are found."""
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(4000, 64)).astype(np.float32))]
+    _, classes = hnsw.vector_classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    classes = hnsw.materialize(classes, "test-classes")
+    queries, truth = hnsw.draw_audit(classes, 4000, 0.95, most=600)
+    assert len(truth) == queries.count() == 600 and not any(r.links for r in truth) and all(len(r.near) == hnsw.NEAREST for r in truth)
+    index = hnsw.build_index(classes, 2)
+    assert hnsw.beam_recall(index, queries, truth, 2, 0.95, hnsw.FIRST_BEAM)[1] < hnsw.AUDIT_RECALL
+    width = hnsw.audited_beam(index, classes, 2, 4000, 0.95)
+    assert width > hnsw.FIRST_BEAM
+    assert hnsw.beam_recall(index, queries, truth, 2, 0.95, width)[1] >= hnsw.AUDIT_RECALL - 0.01
+    assert hnsw.beam_recall(index, queries, truth, 2, 0.95, 4000) == (1.0, 1.0)
+
+
+def test_audit_counts_vectors_and_draws_on_for_links(spark):
+    """A group of a thousand links a member doesn't outvote vectors with one link."""
+    rng = np.random.default_rng(6)
+    single = rng.normal(size=(900, 16))
+    hot = rng.normal(size=16) + rng.normal(size=(300, 16)) * 0.01
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate((single, single[:60] + rng.normal(size=(60, 16)) * 0.01, hot)))]
+    _, classes = hnsw.vector_classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    classes = hnsw.materialize(classes, "test-classes")
+    queries, truth = hnsw.draw_audit(classes, len(rows), 0.95, rows=40, linked=200)
+    assert len(truth) > 40 and sum(r.links > 0 for r in truth) >= 200 and queries.count() == len(truth)
+    unit = hnsw._unit(np.array([r.v for r in classes.orderBy("class_id").collect()]))
+    ids = [r.class_id for r in classes.orderBy("class_id").collect()]
+    cosines = unit @ unit.T
+    np.fill_diagonal(cosines, -1)
+    for r in truth:
+        mine = np.sort(cosines[ids.index(r.a)])[::-1]
+        assert r.links == (mine >= 0.95).sum() and r.near == pytest.approx(mine[: hnsw.NEAREST].tolist())
+    index = hnsw.build_index(classes.where(F.col("class_id").isin([r.a for r in truth if r.links > 100])), 1)
+    whole, _ = hnsw.beam_recall(index, queries, truth, 1, 0.95, 4000)
+    linked = [r for r in truth if r.links]
+    assert whole <= sum(r.links > 100 for r in linked) / len(linked) < 0.99
+
+
 # --------------------------------------------------------------------- pieces
 
 

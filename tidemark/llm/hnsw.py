@@ -3,7 +3,8 @@
 Vectors are dealt into shards by a hash of their id; each shard's graph is
 built in one task and stored in the shared folder. Every vector queries every
 shard, in blocks. Beams widen until an audit against brute force passes, and
-for each query as long as its whole beam is within the threshold. What is found
+for each query as long as its whole beam is within the threshold; a beam as
+wide as a graph is brute force. What is found
 is verified by the cosine in double precision, then links are joined into
 components.
 """
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 
 from tidemark.llm.common import materialize
 from tidemark.llm.components import connected_components
@@ -29,8 +31,14 @@ FIRST_BEAM = 32
 SHARDS, SHARD_ROWS = 8, 200_000
 #: Queries that a task answers.
 QUERY_ROWS = 32_768
-#: Vectors whose links are found by brute force too, and the share of them that the graphs must find.
-AUDIT_ROWS, AUDIT_RECALL = 512, 0.99
+#: Vectors that the audit draws first, how many with links it draws on for, and the most that it draws.
+AUDIT_ROWS, AUDIT_LINKED, AUDIT_MOST = 512, 128, 8_192
+#: Nearest others of each audited vector, whether links or not, that the audit asks for.
+NEAREST = 10
+#: The least share of the linked audited vectors whose links are all found, and of the nearest others that are found.
+AUDIT_RECALL = 0.99
+#: Cosines of one pair from two computations differ by less.
+ROUNDING = 1e-9
 #: Below the threshold by this much, single precision may still hide a link.
 SLACK = 1e-4
 INDEX_CHUNK = 8 << 20
@@ -210,23 +218,31 @@ class Graph:
             out_ids[s : s + step] = np.where(sims > -np.inf, np.take_along_axis(ids, order, axis=1), -1)
         return out_ids, out_sims
 
-    def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """``(query, node)`` of all found nodes with a cosine of ``least`` or more; a beam that is all within is widened until it isn't."""
+    def within(self, queries: np.ndarray, least: float, width: int, reach: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``(query, node)`` of all found nodes with a cosine of ``least`` or more; a beam that is all within is widened until it isn't.
+
+        ``reach`` may lower the cosine by query; what lies between widens no beam.
+        """
         queries = queries.astype(np.float32)
+        reach = np.full(len(queries), least) if reach is None else np.minimum(reach, least)
         entry = np.zeros(len(queries), dtype=np.int64)
         for layer in range(len(self.layers) - 1, 0, -1):
             entry = self._descend(queries, entry, layer)
         rows, out_q, out_n = np.arange(len(queries)), [], []
         nodes = len(self.vectors)
-        while len(rows):
-            width = min(width, nodes)
+        while len(rows) and width < nodes:
             ids, sims = self._beam(queries[rows], entry[rows], 0, width, nodes)
-            hit = (sims >= least) & (ids >= 0)
-            full = hit.sum(axis=1) > 0.75 * width if width < nodes else np.zeros(len(rows), dtype=bool)
-            q, k = np.nonzero(hit & ~full[:, None])
+            full = ((sims >= least) & (ids >= 0)).sum(axis=1) > 0.75 * width
+            q, k = np.nonzero((sims >= reach[rows, None]) & (ids >= 0) & ~full[:, None])
             out_q.append(rows[q])
             out_n.append(ids[q, k])
             rows, width = rows[full], 2 * width
+        step = max(1, (1 << 22) // nodes)
+        for s in range(0, len(rows), step):
+            mine = rows[s : s + step]
+            q, n = np.nonzero(queries[mine] @ self.vectors.T >= reach[mine, None])
+            out_q.append(mine[q])
+            out_n.append(n)
         return np.concatenate(out_q) if out_q else rows, np.concatenate(out_n) if out_n else rows
 
     def to_bytes(self, raw: np.ndarray) -> bytes:
@@ -308,12 +324,8 @@ def build_index(classes: DataFrame, shards: int) -> DataFrame:
     return materialize(rows, "hnsw-index")
 
 
-def query_index(index: DataFrame, queries: DataFrame, shards: int, rows: int, least: float, width: int) -> DataFrame:
-    """``a, b`` of all found links of different classes: ``a`` of ``queries`` (about ``rows``), ``b`` of any shard.
-
-    What the graphs find near the threshold is verified in the same task, in
-    double precision and from the vectors as they came, so only links move.
-    """
+def _by_task(index: DataFrame, queries: DataFrame, shards: int, rows: int) -> PandasCogroupedOps:
+    """Queries (about ``rows``) and graphs by task, which is a shard and a block of queries."""
     blocks = max(1, math.ceil(rows / QUERY_ROWS))
     asked = queries.select("class_id", "dims", "v").withColumn("block", F.pmod(F.shiftright("class_id", 20), F.lit(blocks)).cast("int"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
@@ -321,67 +333,127 @@ def query_index(index: DataFrame, queries: DataFrame, shards: int, rows: int, le
     asked = asked.select(task, "class_id", "dims", "v").repartitionById(shards * blocks, "task")
     graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     graphs = graphs.select(task, "dims", "chunk_no", "class_ids", "blob").repartitionById(shards * blocks, "task")
+    return asked.groupBy("task").cogroup(graphs.groupBy("task"))
+
+
+def _matches(left: pa.Table, right: pa.Table, least: float, width: int, floors: dict[int, float] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Class ids of the pairs that one task finds, and their cosines of ``least`` (or the query's floor, if that is lower) or more in double precision."""
+    dims, graph_dims = left.column("dims").to_numpy(), right.column("dims").to_numpy()
+    for d in np.intersect1d(dims, graph_dims):
+        part = left.filter(pa.array(dims == d))
+        chunks = right.filter(pa.array(graph_dims == d)).sort_by("chunk_no")
+        graph, raw = Graph.from_bytes(b"".join(chunks.column("blob").to_pylist()))
+        nodes = np.frombuffer(chunks.column("class_ids")[0].as_py(), dtype="<i8")
+        ids = part.column("class_id").to_numpy()
+        unit = _unit(_matrix(part.column("v")))
+        reach = np.full(len(ids), least) if floors is None else np.minimum(least, [floors[x] - ROUNDING for x in ids.tolist()])
+        q, n = graph.within(unit, least - SLACK, width, reach - SLACK)
+        for k in range(0, len(q), 50_000):
+            at, to = q[k : k + 50_000], n[k : k + 50_000]
+            cosines = np.einsum("ij,ij->i", unit[at], _unit(raw[to]))
+            good = (cosines >= reach[at]) & (ids[at] != nodes[to])
+            yield ids[at[good]], nodes[to[good]], cosines[good]
+
+
+def query_index(index: DataFrame, queries: DataFrame, shards: int, rows: int, least: float, width: int) -> DataFrame:
+    """``a, b`` of all found links of different classes: ``a`` of ``queries`` (about ``rows``), ``b`` of any shard.
+
+    What the graphs find near the threshold is verified in the same task, in
+    double precision and from the vectors as they came, so only links move.
+    """
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        dims, graph_dims = left.column("dims").to_numpy(), right.column("dims").to_numpy()
-        for d in np.intersect1d(dims, graph_dims):
-            part = left.filter(pa.array(dims == d))
-            chunks = right.filter(pa.array(graph_dims == d)).sort_by("chunk_no")
-            graph, raw = Graph.from_bytes(b"".join(chunks.column("blob").to_pylist()))
-            nodes = np.frombuffer(chunks.column("class_ids")[0].as_py(), dtype="<i8")
-            ids = part.column("class_id").to_numpy()
-            unit = _unit(_matrix(part.column("v")))
-            q, n = graph.within(unit, least - SLACK, width)
-            near = [np.einsum("ij,ij->i", unit[q[k : k + 50_000]], _unit(raw[n[k : k + 50_000]])) >= least for k in range(0, len(q), 50_000)]
-            good = np.concatenate(near) if near else np.zeros(0, dtype=bool)
-            a, b = ids[q[good]], nodes[n[good]]
-            out_a.append(a[a != b])
-            out_b.append(b[a != b])
+        for a, b, _ in _matches(left, right, least, width):
+            out_a.append(a)
+            out_b.append(b)
         return pa.table({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
 
-    both = asked.groupBy("task").cogroup(graphs.groupBy("task"))
-    return both.applyInArrow(search, "a bigint, b bigint")
+    return _by_task(index, queries, shards, rows).applyInArrow(search, "a bigint, b bigint")
 
 
-def brute_force(classes: DataFrame, queries: list, least: float) -> DataFrame:
-    """``a, b``: links of a few given query rows against all classes, block by block."""
-    by_dims: dict[int, list] = {}
-    for r in queries:
-        by_dims.setdefault(r["dims"], []).append(r)
-    fixed = {d: (np.array([r["class_id"] for r in rows]), _unit(np.array([r["v"] for r in rows], dtype=np.float64))) for d, rows in by_dims.items()}
+def brute_force(classes: DataFrame, queries: pa.Table, least: float) -> DataFrame:
+    """``a, links, near``: of a few given query rows (``class_id, dims, v``) the number of links and the cosines of the nearest others, against all classes.
+
+    A task keeps a row a query, whatever it reads.
+    """
+    query_dims = queries.column("dims").to_numpy()
+    fixed = {}
+    for d in np.unique(query_dims):
+        part = queries.filter(pa.array(query_dims == d))
+        fixed[int(d)] = part.column("class_id").to_numpy(), _unit(_matrix(part.column("v")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links = {d: np.zeros(len(ids), dtype=np.int64) for d, (ids, _) in fixed.items()}
+        near = {d: np.full((len(ids), NEAREST), -np.inf) for d, (ids, _) in fixed.items()}
         for batch in batches:
-            dims = batch.column("dims").to_numpy()
-            for d in np.unique(dims):
-                if int(d) not in fixed:
-                    continue
-                ids, unit = fixed[int(d)]
-                part = batch.filter(pa.array(dims == d))
-                all_ids, all_unit = part.column("class_id").to_numpy(), _unit(_matrix(part.column("v")))
-                q, n = np.nonzero(unit @ all_unit.T >= least)
-                a, b = ids[q], all_ids[n]
-                yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], ["a", "b"])
-
-    return classes.select("class_id", "dims", "v").mapInArrow(run, "a bigint, b bigint")
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
+                dims = rows.column("dims").to_numpy()
+                for d in np.intersect1d(dims, list(fixed)).tolist():
+                    ids, unit = fixed[d]
+                    part = rows.filter(pa.array(dims == d))
+                    cosines = unit @ _unit(_matrix(part.column("v"))).T
+                    _, mine, same = np.intersect1d(ids, part.column("class_id").to_numpy(), return_indices=True)
+                    cosines[mine, same] = -np.inf
+                    links[d] += (cosines >= least + ROUNDING).sum(axis=1)
+                    both = np.concatenate((near[d], cosines), axis=1)
+                    near[d] = -np.partition(-both, NEAREST - 1, axis=1)[:, :NEAREST]
+        for d, (ids, _) in fixed.items():
+            lists = [x[x > -np.inf].tolist() for x in near[d]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links[d]), pa.array(lists, pa.list_(pa.float64()))], ["a", "links", "near"])
+
+    parts = classes.select("class_id", "dims", "v").mapInArrow(run, "a bigint, links bigint, near array<double>")
+    nearest = F.slice(F.sort_array(F.flatten(F.collect_list("near")), False), 1, NEAREST)
+    return parts.groupBy("a").agg(F.sum("links").alias("links"), nearest.alias("near"))
+
+
+def draw_audit(classes: DataFrame, total: int, least: float, rows: int = AUDIT_ROWS, linked: int = AUDIT_LINKED, most: int = AUDIT_MOST) -> tuple[DataFrame, list]:
+    """``(queries, truth)``: classes in the order of a hash, and a row of :func:`brute_force` of each.
+
+    Four times as many are drawn until ``linked`` of them have links, the
+    classes are all drawn, or ``most`` are: where links are rarer than that, the
+    nearest others tell how well the graphs are searched.
+    """
+    truth, done, stop = [], 0, min(rows, most)
+    while True:
+        queries = classes.orderBy(F.xxhash64("class_id"), "class_id").limit(stop).select("class_id", "dims", "v")
+        truth += brute_force(classes, queries.toArrow().slice(done), least).collect()  # a row a drawn class
+        if sum(r["links"] > 0 for r in truth) >= linked or stop >= min(most, total):
+            return materialize(queries, "hnsw-audit"), truth
+        done, stop = stop, min(4 * stop, most)
 
 
-def audited_beam(index: DataFrame, classes: DataFrame, shards: int, total: int, least: float, audit_rows: int = AUDIT_ROWS, recall: float = AUDIT_RECALL) -> int:
-    """The first beam width, doubling, at which the graphs find the ``recall`` share of an audit's brute-force links.
+def beam_recall(index: DataFrame, queries: DataFrame, truth: list, shards: int, least: float, width: int) -> tuple[float, float]:
+    """``(whole, near)`` at a beam's width: the share of the audit's linked vectors whose links are all found, and of the nearest others that are found.
 
-    The audit's queries are the ``audit_rows`` classes of the smallest hash, against all rows.
+    A vector counts once, however many links it has; others as near as the last of the nearest stand for it.
     """
-    sample = classes.orderBy(F.xxhash64("class_id")).limit(audit_rows)
-    picked = sample.select("class_id", "dims", "v").collect()  # audit_rows vectors
-    truth = materialize(brute_force(classes, picked, least), "hnsw-audit")
-    wanted = truth.count()
-    queries = materialize(sample, "hnsw-audit-queries")
+    floors = {r["a"]: r["near"][-1] if r["near"] else 1.0 for r in truth}
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_a, out_links, out_near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, _, cosines in _matches(left, right, least, width, floors):
+            ids, where = np.unique(a, return_inverse=True)
+            floor = np.array([floors[x] for x in ids.tolist()])[where] - ROUNDING
+            out_a.append(ids)
+            out_links.append(np.bincount(where, weights=cosines >= least, minlength=len(ids)).astype(np.int64))
+            out_near.append(np.bincount(where, weights=cosines >= floor, minlength=len(ids)).astype(np.int64))
+        return pa.table({"a": np.concatenate(out_a), "links": np.concatenate(out_links), "near": np.concatenate(out_near)})
+
+    parts = _by_task(index, queries, shards, len(truth)).applyInArrow(search, "a bigint, links bigint, near bigint")
+    found = {r["a"]: r for r in parts.groupBy("a").agg(F.sum("links").alias("links"), F.sum("near").alias("near")).collect()}
+    whole = [r["a"] in found and found[r["a"]]["links"] >= r["links"] for r in truth if r["links"]]
+    asked = sum(len(r["near"]) for r in truth)
+    near = sum(min(found[r["a"]]["near"], len(r["near"])) for r in truth if r["a"] in found)
+    return sum(whole) / len(whole) if whole else 1.0, near / asked if asked else 1.0
+
+
+def audited_beam(index: DataFrame, classes: DataFrame, shards: int, total: int, least: float, recall: float = AUDIT_RECALL) -> int:
+    """The first beam width, doubling, at which both shares of :func:`beam_recall` are ``recall`` or more."""
+    queries, truth = draw_audit(classes, total, least)
     width = FIRST_BEAM
-    while wanted and width < total:
-        found = query_index(index, queries, shards, len(picked), least, width)
-        if found.join(truth, ["a", "b"], "left_semi").distinct().count() >= recall * wanted:
-            break
+    while width < total and min(beam_recall(index, queries, truth, shards, least, width)) < recall:
         width *= 2
     return width
 
