@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMOKE = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -24,14 +21,3 @@ def spark(tmp_path_factory):
 def scratch(tmp_path):
     """A fresh folder per test (local runs only; on a cluster use shared_base)."""
     return str(tmp_path)
-
-
-def plan_text(df, mode="formatted"):
-    """The text of ``df.explain(mode)`` (public API, captured from stdout)."""
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(mode)
-    return buf.getvalue()

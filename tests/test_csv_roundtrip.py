@@ -6,7 +6,7 @@ in-memory side is normalised the same way before comparing.
 
 import os
 
-from conftest import SF_SMOKE
+from support import SF_SMOKE
 from pyspark.sql import functions as F
 
 from tidemark.plans import retail as R

@@ -97,7 +97,7 @@ def test_first_n_rejects_zero(spark):
 
 def test_keep_first_plan_limits_before_shuffle(spark):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
-    from conftest import plan_text
+    from support import plan_text
 
     plan = plan_text(keep_first_by_preference(df, ["k"], [F.col("v")]))
     assert "WindowGroupLimit" in plan and "Partial" in plan

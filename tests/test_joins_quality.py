@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import plan_text
+from support import plan_text
 from pyspark.sql import functions as F
 
 from tidemark.operators import analysis, joins, quality

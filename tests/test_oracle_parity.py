@@ -5,7 +5,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF_SMOKE
+from support import SF_SMOKE
 
 from tidemark.plans.registry import QUERIES, oracle_sql
 

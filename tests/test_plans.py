@@ -1,7 +1,7 @@
 """Plan-shape checks over every registered query (no execution)."""
 
 import pytest
-from conftest import SF_SMOKE, plan_text
+from support import SF_SMOKE, plan_text
 
 from tidemark.plans.registry import QUERIES
 

@@ -4,7 +4,7 @@ answers under different shuffle partitioning."""
 import re
 
 import pytest
-from conftest import SF_SMOKE
+from support import SF_SMOKE
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -1,7 +1,7 @@
 """A hot key holding a third of all lines: the join is split, results whole."""
 
 import pytest
-from conftest import plan_text
+from support import plan_text
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import keep_first_by_preference

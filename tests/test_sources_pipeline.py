@@ -2,7 +2,7 @@ import glob
 import os
 
 import pytest
-from conftest import SF_SMOKE
+from support import SF_SMOKE
 from pyspark.sql import functions as F
 
 from tidemark.plans import retail as R
