@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    byte_bpe,
     curve_packing,
     hnsw,
     host_reputation,
@@ -90,6 +91,12 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded and decoded again: token count, digest of the ids and digest of the decoded bytes."""
+    rows = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -101,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_records": op10_records,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 #: DuckDB SQL for the rows of the queries that SQL can express.
