@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     byte_bpe,
     curve_packing,
+    filter_audit,
     hnsw,
     host_reputation,
     kneser_ney,
@@ -91,6 +92,10 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded and decoded again: token count, digest of the ids and digest of the decoded bytes."""
     rows = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents")))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_records": op10_records,
+    "op11_filter_audit": op11_filter_audit,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
@@ -140,6 +146,36 @@ ORACLE_SQL: dict[str, str] = {
             and not (upper + lower >= 50 and 10 * upper > 6 * (upper + lower)) and 100 * shouts <= 15 * n_words as kept
         from b
     """,
+    "op11_filter_audit": """
+        with t as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as ws from documents
+        ), l as (
+            select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by doc_id
+        ), d as (
+            select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+                case when len(ws) < 50 then 'A' else '' end || case when 100 * len(list_distinct(ws)) < 65 * len(ws) then 'B' else '' end
+                || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' else '' end
+                || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+                || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as f
+            from t left join l using (doc_id)
+        ), c as (select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic from d group by part, f),
+        x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+        o as (
+            select a.x || b.x || c.x || d.x || e.x as filter_order from x a, x b, x c, x d, x e
+            where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), s as (
+            select c.*, filter_order, step, contains(f, filter_order[step]) as hit,
+                len(list_filter(string_split(left(filter_order, step - 1), ''), lambda y: y <> '' and contains(f, y))) = 0 as here
+            from c, o, (select unnest([1, 2, 3, 4, 5])::int as step)
+        )
+        select part, filter_order, step, sum(case when here and not hit then n else 0 end)::bigint as kept,
+            sum(case when here and hit then n else 0 end)::bigint as removed, sum(case when hit and not here then n else 0 end)::bigint as redundant,
+            sum(case when hit and length(f) = 1 then n else 0 end)::bigint as unique_fails,
+            sum(case when here and hit then good else 0 end)::bigint as good_lost, sum(case when here and hit then toxic else 0 end)::bigint as toxic_lost,
+            sum(sum(case when here and hit then n else 0 end)) over (partition by part, filter_order[step])::bigint as shapley
+        from s group by part, filter_order, step
+    """,
     "op4_warc": """
         with p as (
             select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as k, sha1(coalesce(html, '')) as digest from pages
