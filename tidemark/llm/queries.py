@@ -19,6 +19,7 @@ from tidemark.llm import (
     record_files,
     rendezvous,
     simhash,
+    spelling_groups,
     warc,
 )
 from tidemark.llm.common import ship_package
@@ -96,6 +97,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded and decoded again: token count, digest of the ids and digest of the decoded bytes."""
     rows = byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents")))
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_records": op10_records,
     "op11_filter_audit": op11_filter_audit,
+    "op12_spelling_groups": op12_spelling_groups,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
