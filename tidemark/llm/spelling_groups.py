@@ -188,12 +188,9 @@ def _near_in_task(table: pa.Table) -> pa.Table:
 
 def _prefix(word: Column) -> Column:
     """The word's counts of the first DEPTH groups of the trie's order."""
-    letters = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.pmod(_code_point(F.substring(word, i, F.lit(1))), F.lit(GROUPS)))
-    return F.transform(F.array(letters), lambda x: F.array(*[F.size(F.filter(x, lambda g, k=k: g == k)) for k in LEVELS[:DEPTH]]))[0]
-
-
-def _code_point(letter: Column) -> Column:
-    return F.ascii(letter)
+    letters = [chr(c) for c in (*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100))]
+    groups = ["".join(x for x in letters if ord(x) % GROUPS == k) for k in LEVELS[:DEPTH]]
+    return F.array(*[F.length(word) - F.length(F.translate(word, g, "")) for g in groups])
 
 
 def _moves() -> list[tuple[list[int], int, int, int]]:
