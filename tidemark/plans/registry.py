@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleanse import is_incomplete_date, parse_timestamp, strict_flag
 from tidemark.operators import analysis, joins, quality
 from tidemark.operators.typing import apply_roles, rejected_values
-from tidemark.plans import oracle
+from tidemark.plans import oracle, registry_layers
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions, PriceMode
 from tidemark.plans.pipeline import SAMPLE_FORMULA_COLUMNS, SAMPLE_ORDER_COLUMNS, sorted_sample
@@ -261,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "dq_checks": q_dq_checks,
     "orphan_lines": q_orphan_lines,
     "row_counts": q_row_counts,
+    **registry_layers.QUERIES,
 }
 
 
@@ -394,7 +395,7 @@ def oracle_sql() -> dict[str, str]:
         "SalesOrderID": "key", "SalesOrderDetailID": "key", "OrderQty": "int", "ProductID": "key",
         "UnitPrice": "double", "UnitPriceDiscount": "double",
     }
-    return {
+    sql = {
         "clean_strings": _with(
             "\nSELECT ProductID, ProductDesc, Color, ProductCategoryName, ProductSubCategoryName FROM typed_products"
         ),
@@ -512,3 +513,5 @@ UNION ALL SELECT 'publish_product', (SELECT count(*) FROM publish_product)
 UNION ALL SELECT 'publish_orders', (SELECT count(*) FROM publish_orders)"""
         ),
     }
+    layers = registry_layers.oracle_sql(sql["publish_orders"], sql["top_color_by_year"], sql["avg_lead_by_category"], sql["publish_product"])
+    return sql | layers
