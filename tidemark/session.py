@@ -2,8 +2,8 @@
 
 On a cluster the caller owns the session; the library only reads settings
 from it. Locally we pin what the operators assume: UTC session time zone
-(wall-clock timestamps are used throughout anyway) and adaptive execution with
-skew-join splitting. Callers that write layers name their checkpoint folder.
+(wall-clock timestamps are used throughout anyway), adaptive execution with
+skew-join splitting, and no generated method longer than the JVM compiles. Callers that write layers name their checkpoint folder.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the JVM leaves methods over 8000 bytes of code to its interpreter; Spark then plans without one large method
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
     )
     if checkpoint_dir:
