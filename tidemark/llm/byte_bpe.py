@@ -40,8 +40,8 @@ NONE = END = (1 << BITS) - 1
 SPREAD = 31_337
 #: Slots of partitions, of the chunks of a partition and of the words of a chunk in a key of 64 bits; words are encoded once for so many partitions.
 CHUNK_BITS, PLACE_BITS, SPAN_BITS = 16, 24, 12
-#: Words whose ids are gathered at once.
-GATHER_WORDS = 1 << 20
+#: Words whose ids are gathered or packed at once, and what packed ones look like.
+GATHER_WORDS, FOUND = 1 << 18, "struct<places:binary,lengths:binary,ids:binary>"
 #: Fixed value: Unicode's White_Space characters; Java's ``\\s`` has those of ASCII alone.
 SPACE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
@@ -271,18 +271,33 @@ def fold(word: Column, table: Column) -> Column:
     return let(rank_of(word, table), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(merged))
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers as four runs of bytes, lowest first: the high ones are nearly all zero and compress away."""
+    return np.ascontiguousarray(numbers.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _unplaned(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _coded(part: pa.Table, number: int) -> pa.RecordBatch:
-    """One chunk: its documents, their counts of words, the words' places and the distinct words."""
-    lists = part.column("found").combine_chunks()
-    words = lists.flatten()
-    coded = (words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words).dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary())
+    """One chunk: its documents, their counts of words, the words' places and the distinct words, the most frequent first."""
+    lists = part.column("found")
+    coded = pc.list_flatten(lists).dictionary_encode()  # its parts share one dictionary
+    dictionary = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.string())
+    codes = np.concatenate([np.zeros(0, dtype=np.int32), *(c.indices.to_numpy(zero_copy_only=False) for c in coded.chunks)])
+    del coded
+    order = np.argsort(-np.bincount(codes, minlength=len(dictionary)), kind="stable")
+    place = np.empty(len(order), dtype=np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    distinct = dictionary.cast(pa.binary()).take(pa.array(order))
+    counts = np.concatenate([np.zeros(0, dtype=np.int32), *(pc.list_value_length(c).to_numpy(zero_copy_only=False) for c in lists.chunks)])
     return pa.RecordBatch.from_arrays(
         [
             pa.array([number], pa.int64()),
             pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-            pa.array([pc.list_value_length(lists).to_numpy(zero_copy_only=False)], pa.list_(pa.int32())),
-            pa.array([coded.indices.to_numpy(zero_copy_only=False).astype("<i4").tobytes()], pa.binary()),
+            pa.array([counts], pa.list_(pa.int32())),
+            pa.array([_planes(place[codes])], pa.binary()),
             pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct),
         ],
         ["chunk", "doc_id", "counts", "codes", "words"],
@@ -293,7 +308,7 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
     """Documents as numbers of words: ``chunk, doc_id, counts, codes, words`` with about CHUNK_BYTES of text a row.
 
     ``counts`` has the words of each document, ``codes`` the place of each word
-    in ``words``, the distinct words of the chunk, as 32-bit integers.
+    in ``words``, the distinct words of the chunk, as planes of 32-bit integers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,10 +321,13 @@ def _chunks(docs: DataFrame, pattern: str) -> DataFrame:
             for last in cuts.tolist():
                 yield _coded(pa.Table.from_batches([*waiting, batch.slice(first, last - first)]), number)
                 number, waiting, first = number + 1, [], last
+                pa.default_memory_pool().release_unused()
             if first < batch.num_rows:
                 waiting.append(batch.slice(first))
         if waiting:
             yield _coded(pa.Table.from_batches(waiting), number)
+        del waiting
+        pa.default_memory_pool().release_unused()  # the worker lives on; its memory goes back
 
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select(
@@ -329,29 +347,67 @@ def _bucketed(chunks: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _by_chunk(rows: DataFrame) -> DataFrame:
+    """``chunk, ids``: rows of ``key, ids`` packed by chunk within each task, places as differences."""
+
+    def packed(keys: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(keys, kind="stable")
+        start = np.cumsum(lengths) - lengths
+        keys, sizes = keys[order], lengths[order]
+        stops = np.cumsum(sizes)
+        ids = ids[np.repeat(start[order] - (stops - sizes), sizes) + np.arange(len(ids))]
+        chunks = keys >> PLACE_BITS
+        cuts = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(keys)]
+        for i, j in zip(cuts, cuts[1:]):
+            place = np.diff(keys[i:j] & ((1 << PLACE_BITS) - 1), prepend=0)
+            line = ids[stops[i] - sizes[i] : stops[j - 1]]
+            parts = {"places": _planes(place), "lengths": _planes(sizes[i:j]), "ids": _planes(line)}
+            found = pa.StructArray.from_arrays([pa.array([x], pa.binary()) for x in parts.values()], list(parts))
+            yield pa.RecordBatch.from_arrays([pa.array([chunks[i]], pa.int64()), found], ["chunk", "found"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for batch in batches:
+            lists = batch.column("ids")
+            keys = batch.column("key").to_numpy(zero_copy_only=False)
+            waiting.append((keys, pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten().to_numpy(zero_copy_only=False)))
+            size += len(keys)
+            if size > GATHER_WORDS:
+                yield from packed(*map(np.concatenate, zip(*waiting)))
+                waiting, size = [], 0
+        if size:
+            yield from packed(*map(np.concatenate, zip(*waiting)))
+        del waiting
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, f"chunk bigint, found {FOUND}")
+
+
 def _encoded_words(chunks: DataFrame, path: str) -> DataFrame:
-    """``chunk, words``: place and ids of every word of a chunk. Each distinct word is encoded once for 4096 partitions."""
-    span = F.shiftright("chunk", CHUNK_BITS + SPAN_BITS)
-    words = chunks.select("chunk", span.alias("span"), F.posexplode("words").alias("place", "word"))
+    """``chunk, found``: place and ids of every word of a chunk. Each distinct word is encoded once for 4096 partitions."""
+    words = chunks.select("chunk", F.posexplode("words").alias("place", "word"))
+    words = words.select("word", F.shiftleft("chunk", PLACE_BITS).bitwiseOR(F.col("place")).alias("key"))
     # a number of partitions that is asked for stays: words are small and the fold is long, so few large tasks would be slow
-    words = words.repartition(partitions(chunks.sparkSession), "word", "span")
-    key = F.shiftleft("chunk", PLACE_BITS).bitwiseOR(F.col("place"))
-    group = words.groupBy("word", "span").agg(F.collect_list(key).alias("keys"))
+    words = words.repartition(partitions(chunks.sparkSession), "word")
+    span = F.shiftright("key", PLACE_BITS + CHUNK_BITS + SPAN_BITS)
+    group = words.groupBy("word", span.alias("span")).agg(F.collect_list("key").alias("keys"))
     ids = let(rank_map(path), lambda table: fold(F.col("word"), table))
     found = group.select(ids.alias("ids"), "keys").select("ids", F.explode("keys").alias("key"))
-    place = F.col("key").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
-    return found.groupBy(F.shiftright("key", PLACE_BITS).alias("chunk")).agg(F.collect_list(F.struct(place.alias("place"), "ids")).alias("found"))
+    return _by_chunk(found).groupBy("chunk").agg(F.collect_list("found").alias("found"))
 
 
 def _gathered(row: dict) -> Iterator[pa.RecordBatch]:
     """The documents of one chunk with their ids, some at a time."""
-    found = row["found"].flatten()
-    place, lists = found.field("place").to_numpy(zero_copy_only=False), found.field("ids")
-    values, lengths = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4"), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    found = [{k: _unplaned(x) for k, x in part.items()} for part in row["found"]]
+    none = [np.zeros(0, dtype=np.uint32)]
+    place = np.concatenate([np.cumsum(part["places"], dtype=np.int64) for part in found] or none).astype(np.int64)
+    lengths = np.concatenate([part["lengths"] for part in found] or none).astype(np.int64)
+    values = np.concatenate([part["ids"] for part in found] or none)
     start = np.empty(len(place), dtype=np.int64)
     length = np.empty(len(place), dtype=np.int64)
     start[place], length[place] = np.cumsum(lengths) - lengths, lengths
-    codes = np.frombuffer(row["codes"], dtype="<i4")
+    codes = _unplaned(row["codes"])
     counts = row["counts"].to_numpy(zero_copy_only=False)
     ends = np.cumsum(counts)
     first, begun = 0, 0
@@ -365,7 +421,7 @@ def _gathered(row: dict) -> Iterator[pa.RecordBatch]:
         # tokens before each document's end
         edges = np.concatenate(([0], stops))[np.concatenate(([0], ends[first:last] - begun))].astype(np.int32)
         blob = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer((edges * 4).astype(np.int32)), pa.py_buffer(ids.tobytes())])
-        tokens = pa.ListArray.from_arrays(pa.array(edges), pa.array(ids, pa.int32()))
+        tokens = pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.view(np.int32)))
         yield pa.RecordBatch.from_arrays(
             [row["doc_id"].slice(first, last - first), tokens, blob, pa.array(np.diff(edges).astype(np.int64))], ["doc_id", "tokens", "ids", "n_tokens"]
         )
@@ -390,13 +446,12 @@ def encode(docs: DataFrame, ranks: str | None = None, pattern: str | None = None
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {name: batch.column(name).slice(k, 1) for name in batch.schema.names}
-                row = {"codes": row["codes"][0].as_buffer(), "found": row["found"], "counts": row["counts"].flatten(), "doc_id": row["doc_id"].flatten()}
+                row = {"codes": row["codes"][0].as_buffer(), "found": row["found"][0].as_py() or [], "counts": row["counts"].flatten(), "doc_id": row["doc_id"].flatten()}
                 yield from _gathered(row)
+        pa.default_memory_pool().release_unused()
 
     rows = chunks.select("chunk", "doc_id", "counts", "codes").join(_encoded_words(chunks, path), "chunk", "left")
-    empty = F.array().cast("array<struct<place:int,ids:array<int>>>")
-    rows = rows.select("doc_id", "counts", "codes", F.coalesce("found", empty).alias("found"))
-    return rows.mapInArrow(run, "doc_id bigint, tokens array<int>, ids binary, n_tokens bigint")
+    return rows.drop("chunk").mapInArrow(run, "doc_id bigint, tokens array<int>, ids binary, n_tokens bigint")
 
 
 def decode(rows: DataFrame, ranks: str | None = None) -> DataFrame:
