@@ -73,6 +73,41 @@ def test_recall_of_a_graph_against_brute_force():
     assert len(found & truth) >= 0.98 * len(truth)
 
 
+def test_tight_groups_are_found_whole_at_a_fixed_beam():
+    """Lists that are chosen anew drop links; every node is still reached, on every layer, and found by those it links with."""
+    rng = np.random.default_rng(7)
+    groups = [rng.normal(size=(1, 64)) + rng.normal(size=(200, 64)) * 0.01 for _ in range(2)]
+    unit = hnsw._unit(np.concatenate([rng.normal(size=(2600, 64)), *groups]))
+    graph, _ = hnsw.Graph.build(unit, np.arange(len(unit)))
+    for table in graph.layers:
+        reached, front = {0}, [0]
+        while front:
+            front = [k for k in set(table[front].ravel().tolist()) if k >= 0 and k not in reached]
+            reached.update(front)
+        assert len(reached) == len(table)
+    assert np.bincount(graph.layers[0][graph.layers[0] >= 0], minlength=len(unit)).min() >= 1
+    asked = np.arange(2600, 3000)
+    q, _ = graph.within(unit[asked], 0.95, hnsw.FIRST_BEAM)
+    truth = (unit[asked] @ unit.T >= 0.95).sum(axis=1)
+    assert (np.bincount(q, minlength=len(asked)) >= truth).mean() >= 0.99
+
+
+def test_lost_nodes_are_mended():
+    """A layer whose links lead nowhere becomes one in which a walk from the first node meets all."""
+    rng = np.random.default_rng(8)
+    vectors = hnsw._unit(rng.normal(size=(50, 8))).astype(np.float32)
+    graph = hnsw.Graph(vectors, [])
+    table = np.full((50, 4), -1, dtype=np.int32)
+    table[10:, 0] = 3  # all lead to one node, from which nothing leads on
+    mended = graph._mended(table)
+    assert (mended[:, :4] == table).all()
+    reached, front = {0}, [0]
+    while front:
+        front = [k for k in set(mended[front].ravel().tolist()) if k >= 0 and k not in reached]
+        reached.update(front)
+    assert len(reached) == 50
+
+
 def test_beams_widen_over_a_large_group():
     rng = np.random.default_rng(4)
     unit = hnsw._unit(np.concatenate([rng.normal(size=(500, 16)), rng.normal(size=(1, 16)) + rng.normal(size=(700, 16)) * 0.01]))

@@ -25,7 +25,9 @@ from tidemark.llm.common import materialize
 from tidemark.llm.components import connected_components
 
 #: Links of a node on the upper layers, on the ground layer, and the beam that finds them.
-LINKS, GROUND_LINKS, BUILD_BEAM = 12, 24, 48
+LINKS, GROUND_LINKS, BUILD_BEAM = 16, 32, 128
+#: Links that a node may get beyond those, so that every node is reached, and the incoming links that it should have.
+SPARE, LEAST_INCOMING = 8, 3
 FIRST_BEAM = 32
 #: Shards at least, and vectors of a shard at most (about 100 MB of graph and vectors of 64 numbers).
 SHARDS, SHARD_ROWS = 8, 200_000
@@ -73,8 +75,68 @@ class Graph:
             stop = min(len(unit), at + min(at, 1024))
             graph._insert(at, stop, beam)
             at = stop
+        graph.layers = [graph._mended(table) for table in layers]
         return graph, order
 
+    def _mended(self, table: np.ndarray) -> np.ndarray:
+        """``table`` with SPARE more links a node, through which every node is reached from the first.
+
+        A list that is chosen anew may drop a node's last incoming link, and no
+        beam finds a node that nothing leads to. So nodes with few incoming links
+        get some from the nodes they link to; then those that a walk from the
+        first node does not reach get one from the nearest that it reaches.
+        """
+        nodes, width = table.shape
+        wide = np.full((nodes, width + SPARE), -1, dtype=np.int32)
+        wide[:, :width] = table
+        used = np.zeros(nodes, dtype=np.int64)
+
+        def add(source: np.ndarray, target: np.ndarray) -> None:
+            """Links in the order given, as far as the sources have spare places."""
+            order = np.argsort(source, kind="stable")
+            source, target = source[order], target[order]
+            starts = np.flatnonzero(np.r_[True, source[1:] != source[:-1]]) if len(source) else np.zeros(0, dtype=np.int64)
+            rank = np.arange(len(source)) - np.repeat(starts, np.diff(np.r_[starts, len(source)]))
+            place = used[source] + rank
+            fits = place < SPARE
+            wide[source[fits], width + place[fits]] = target[fits]
+            np.add.at(used, source[fits], 1)
+
+        incoming = np.bincount(table[table >= 0], minlength=nodes)
+        poor = np.flatnonzero(incoming < LEAST_INCOMING)
+        if len(poor):
+            near = table[poor].astype(np.int64)
+            sims = np.einsum("ijk,ik->ij", self.vectors[np.maximum(near, 0)], self.vectors[poor])
+            back = (table[np.maximum(near, 0)] == poor[:, None, None]).any(axis=2)
+            sims = np.where((near >= 0) & ~back, sims, -np.inf)
+            for k in range(LEAST_INCOMING):
+                best = np.argmax(sims, axis=1)
+                rows = np.arange(len(poor))
+                fine = sims[rows, best] > -np.inf
+                add(near[rows, best][fine], poor[fine])
+                sims[rows, best] = -np.inf
+        while True:
+            reached = np.zeros(nodes, dtype=bool)
+            reached[0] = True
+            front = np.zeros(1, dtype=np.int64)
+            while len(front):
+                found = np.unique(wide[front])
+                front = found[found >= 0].astype(np.int64)
+                front = front[~reached[front]]
+                reached[front] = True
+            lost = np.flatnonzero(~reached)
+            if not len(lost):
+                return wide
+            open_ = np.flatnonzero(reached & (used < SPARE))
+            source = np.zeros(len(lost), dtype=np.int64)
+            sims = np.zeros(len(lost), dtype=np.float32)
+            for s in range(0, len(lost), 256):
+                value = self.vectors[lost[s : s + 256]] @ self.vectors[open_].T
+                top = np.argmax(value, axis=1)
+                source[s : s + 256], sims[s : s + 256] = open_[top], value[np.arange(len(top)), top]
+            order = np.argsort(-sims, kind="stable")
+            add(source[order], lost[order])
+
     def _insert(self, at: int, stop: int, beam: int) -> None:
         """Add the nodes ``at`` to ``stop`` to every layer they reach: candidates by search among those before, and among themselves."""
         entry = np.zeros(stop - at, dtype=np.int64)
