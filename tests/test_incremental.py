@@ -190,3 +190,14 @@ def test_states_merge_in_any_split(spark):
     assert rows(merged.select("y", "c", state_money("r"))) == rows(revenue_by(df, ["y", "c"], "amount", "r"))
     by_colour = merge_states(merged, ["c"]).select("c", state_mean("m"))
     assert rows(by_colour) == rows(mean_by(df, ["c"], "lead", "m"))
+
+
+def test_command_line(spark, inbox, scratch):
+    from tidemark.__main__ import main
+
+    first_files(inbox)
+    args = ["--incremental", "--data-dir", f"{scratch}/in", "--out", f"{scratch}/cli"]
+    assert main(args, spark)["publish_orders"] == 3
+    assert main(args, spark) == {}
+    with pytest.raises(SystemExit):
+        main([*args, "--checks"], spark)
