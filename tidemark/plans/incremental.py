@@ -92,6 +92,7 @@ class IncrementalPipeline:
     def run(self) -> BatchResult:
         """Finish a batch that an earlier run left, then take in what is new. Writes nothing where nothing is."""
         result = BatchResult()
+        self.manifest.refresh()
         last = self.manifest.last_planned()
         if last and (done := self._finish(last)):
             result.rows[last] = done
@@ -173,6 +174,7 @@ class IncrementalPipeline:
     # ------------------------------------------------------------- results
 
     def _finished(self) -> int:
+        self.manifest.refresh()
         done = self.manifest.batches(STEPS[-1])
         if not done:
             raise ValueError("no batch is finished yet")

@@ -80,6 +80,10 @@ class Manifest:
         """``version`` of the file versions that a batch up to ``upto`` retired."""
         return self.files().where((F.col("state") == GONE) & (F.col("batch") <= upto)).select("version").distinct()
 
+    def refresh(self) -> None:
+        """Forget what was read: another run may have written since."""
+        self._summary = self._steps = None
+
     def _known(self) -> set[tuple[int, str, str]]:
         """``batch, dataset, state`` of the planned files (a row each reaches the driver)."""
         if self._summary is None:
