@@ -25,11 +25,11 @@ from tidemark.llm.common import materialize
 from tidemark.llm.components import connected_components
 
 #: Links of a node on the upper layers, on the ground layer, and the beam that finds them.
-LINKS, GROUND_LINKS, BUILD_BEAM = 16, 32, 128
+LINKS, GROUND_LINKS, BUILD_BEAM = 48, 96, 256
 #: Links that a node may get beyond those, so that every node is reached, and the incoming links that it should have.
 SPARE, LEAST_INCOMING = 8, 3
 FIRST_BEAM = 32
-#: Shards at least, and vectors of a shard at most (about 100 MB of graph and vectors of 64 numbers).
+#: Shards at least, and vectors of a shard at most (about 140 MB of graph and vectors of 64 numbers).
 SHARDS, SHARD_ROWS = 8, 200_000
 #: Queries that a task answers.
 QUERY_ROWS = 32_768
@@ -261,9 +261,12 @@ class Graph:
                 near = table[ids[alive, at]].astype(np.int64)
                 near = np.where(near < 0, nodes, near)
                 fresh = ~seen[alive[:, None], near]
-                seen[alive[:, None], near] = True
-                value = np.einsum("ijk,ik->ij", self.vectors[np.minimum(near, len(self.vectors) - 1)], q[alive])
-                value = np.where(fresh, value, -np.inf).astype(np.float32)
+                # only nodes that a query meets for the first time are compared with it
+                row, k = np.nonzero(fresh)
+                met = near[row, k]
+                seen[alive[row], met] = True
+                value = np.full(near.shape, -np.inf, dtype=np.float32)
+                value[row, k] = np.einsum("ij,ij->i", self.vectors[met], q[alive[row]])
                 useful = (value > sims[alive].min(axis=1, keepdims=True)).any(axis=1)
                 rest = alive[useful]
                 if len(rest):
