@@ -11,6 +11,7 @@ from support import SF_SMOKE, plan_text
 from tidemark.functions.cleanse import Role
 from tidemark.operators import drift, quarantine, reconcile, sketches
 from tidemark.operators.typing import rejected_values
+from tidemark.plans import registry_layers
 from tidemark.plans import retail as R
 from tidemark.plans.options import PipelineOptions
 from tidemark.sources import exports, yearly
@@ -194,3 +195,22 @@ def test_layers_of_several_schemas_lose_no_column_and_no_row(spark, scratch):
     assert dict(drift.read_together(spark, [f"{scratch}/v2", f"{scratch}/v1"]).dtypes)["price"] == "string"
     with pytest.raises(ValueError, match="no paths"):
         drift.read_together(spark, [])
+
+
+# ------------------------------------------------------------------ shared folder
+
+
+@pytest.fixture
+def cluster_master(monkeypatch, spark):
+    """The session's settings as a cluster's: its shared folder is a mounted ``file:`` one."""
+    plain = type(spark.conf).get
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, *a: "spark://host:7077" if key == "spark.master" else plain(self, key, *a))
+
+
+def test_a_configured_file_folder_is_used_on_any_master(spark, cluster_master):
+    assert registry_layers.working_base(spark).startswith(spark.conf.get("spark.checkpoint.dir") + "/tidemark-")
+
+
+@pytest.mark.parametrize("name", ["bucketed_orders", "orders_of_year"])
+def test_layer_queries_run_on_any_master(spark, cluster_master, name):
+    assert registry_layers.QUERIES[name](spark, SF_SMOKE).count() > 0

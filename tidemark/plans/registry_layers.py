@@ -29,7 +29,7 @@ DELIVERIES, RANGE_KEYS, YEAR = 3, 1000, 1995
 def working_base(spark: SparkSession) -> str:
     """A new folder under the shared checkpoint folder, or a temporary one for a local session that has none."""
     name = f"tidemark-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.checkpoint.dir", None) or not spark.conf.get("spark.master", "local").startswith("local["):
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.master", "local").partition("[")[0] != "local":
         return shared_base(spark, name)
     return f"file://{tempfile.mkdtemp(prefix=name)}"
 
