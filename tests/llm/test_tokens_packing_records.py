@@ -43,6 +43,19 @@ def test_word_cache_starts_anew(monkeypatch):
         assert e.ids(text) == e._raw([text])[0]
 
 
+def test_plain_words_are_encoded_run_by_run(monkeypatch):
+    """Cases of one run of letters and the marks behind it take the model once; only other words go through the whole tokenizer."""
+    e = tokens.WordEncoder(tokens.default_tokenizer())
+    words = [f"{run}{marks}" for run in ("garten", "Garten", "ÉTÉ", "été", "s", "ll", "ßx") for marks in ("", ",", "!!", "$$$")]
+    want = e._raw(words)
+    together = []
+    monkeypatch.setattr(e, "_together", lambda left: together.extend(left) or e._raw(left))
+    e.runs.clear()
+    assert e._words(words) == want and not together and len(e.runs) == 5 + 3
+    odd = ["don't", "a-b", "x1", "e\u0301", "İx", "a<|endoftext|>"]
+    assert e._words([*odd, "garten"]) == [*e._raw(odd), want[0]] and together == odd
+
+
 def test_crc32c_vectors():
     # published check values
     data = [b"123456789", b"", bytes(32), b"\xff" * 32, bytes(range(32))]
