@@ -165,6 +165,19 @@ def test_labels_of_any_number_all_count(spark, small):
         assert threshold == (None if few[k][1] is None else pytest.approx(few[k][1], rel=1e-9))
 
 
+def test_texts_move_to_their_blocks_alone_and_compressed(spark, small, monkeypatch):
+    """Labels are joined with ids, never with texts, and blocks of any size count the same n-grams."""
+    docs, labels = small
+    joined, plain = [], kneser_ney.only_trusted
+    monkeypatch.setattr(kneser_ney, "only_trusted", lambda rows, trusted: joined.append(rows.columns) or plain(rows, trusted))
+    few = {r.doc_id: (r.n, r.perplexity) for r in kneser_ney.classify(docs, labels).collect()}
+    assert joined and not any("text" in c for columns in joined for c in columns)
+    many = {r.doc_id: (r.n, r.perplexity) for r in kneser_ney.classify(docs, labels, block_bytes=5000).collect()}
+    assert few.keys() == many.keys() and all(many[k] == (n, pytest.approx(p, rel=1e-9)) for k, (n, p) in few.items())
+    dealt = kneser_ney.dealt_rows(kneser_ney.prepared(docs), 4)
+    assert "text" not in dealt.columns and dealt.selectExpr("sum(length(packed)) < 0.7 * sum(size)").first()[0]
+
+
 def test_probabilities_sum_to_one(small):
     docs, _ = small
     model = PlainModel([r.text for r in docs.where("lang = 'es'").collect()][:3])

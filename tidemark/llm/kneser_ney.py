@@ -3,9 +3,11 @@
 The model is a set of count tables keyed by language and n-gram, trained on all
 trusted text. Symbols are UTF-16 code units (white space as a blank, digits as
 0), so four of them pack exactly into a long. Documents are dealt into blocks;
-a block asks for the log-probabilities of its distinct n-grams only, the joins
-with the count tables run once for each n-gram of the corpus, and the answers
-go back to the blocks, where whole texts are scored.
+a block counts its n-grams in trusted text and asks for the log-probabilities of
+all its distinct n-grams, the joins with the count tables run once for each
+n-gram of the corpus, and the answers go back to the blocks, where whole texts
+are scored. Texts move compressed, and only to their blocks: the marks of trusted
+rows come to them.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ ORDER = 4
 BEGIN, END, OTHER = 0, 1, 0xFFFD
 #: Symbols that the base distribution spreads over.
 ALPHABET = 1 << 16
+#: How texts are compressed on their way to the blocks.
+CODEC = "zstd"
 #: Text bytes of a block, about.
 BLOCK_BYTES = 48 << 20
 #: A document is rejected if its perplexity is over the language's quantile of trusted text times the margin,
@@ -60,18 +64,21 @@ def symbols(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return gram.view(np.int64), np.repeat(np.arange(len(sizes)), sizes), sizes
 
 
-def _by_language(languages: list[str]) -> dict[str, list[int]]:
-    out: dict[str, list[int]] = {}
-    for k, x in enumerate(languages):
+def _by_key(keys: list) -> dict:
+    out: dict = {}
+    for k, x in enumerate(keys):
         out.setdefault(x, []).append(k)
     return out
 
 
-def _text_slices(languages: list[str], texts: pa.Array, rows: int = 128) -> Iterator[tuple[str, list[int], list[str]]]:
-    for lang, rows_of in _by_language(languages).items():
+def _text_slices(keys: list, block: pa.Table, rows: int = 128) -> "Iterator[tuple[object, list[int], list[str]]]":
+    """Rows of one key and their texts, few at a time."""
+    codec = pa.Codec(CODEC)
+    packed, sizes = block.column("packed").combine_chunks(), block.column("size").to_pylist()
+    for key, rows_of in _by_key(keys).items():
         for at in range(0, len(rows_of), rows):
             mine = rows_of[at : at + rows]
-            yield lang, mine, texts.take(pa.array(mine)).to_pylist()
+            yield key, mine, [codec.decompress(packed[k].as_buffer(), sizes[k], asbytes=True).decode() if sizes[k] else "" for k in mine]
 
 
 def _merge(held: dict[str, tuple[np.ndarray, np.ndarray]], lang: str, grams: np.ndarray, counts: np.ndarray) -> None:
@@ -82,8 +89,8 @@ def _merge(held: dict[str, tuple[np.ndarray, np.ndarray]], lang: str, grams: np.
     held[lang] = grams, counts
 
 
-def _gathered(batches: Iterator[tuple[list[str], pa.Array]]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """Distinct n-grams with counts by language of a stream of texts; holds no more than those."""
+def _gathered(block: pa.Table, trusted: set) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Distinct n-grams of a block's texts by language, and how often each is in a trusted text; holds no more than those."""
     held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
@@ -93,28 +100,32 @@ def _gathered(batches: Iterator[tuple[list[str], pa.Array]]) -> Iterator[tuple[s
             grams, where = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
             _merge(held, lang, grams, np.bincount(where, weights=np.concatenate([c for _, c in found])).astype(np.int64))
 
-    for languages, texts in batches:
-        for lang, _, part in _text_slices(languages, texts):
-            waiting.setdefault(lang, []).append(np.unique(symbols(part)[0], return_counts=True))
-            if len(waiting[lang]) >= 16:
-                settle(lang)
+    keys = [(lang, doc in trusted) for lang, doc in zip(block.column("lang").to_pylist(), block.column("doc_id").to_pylist())]
+    for (lang, counts_it), _, part in _text_slices(keys, block):
+        grams, counts = np.unique(symbols(part)[0], return_counts=True)
+        waiting.setdefault(lang, []).append((grams, counts if counts_it else np.zeros_like(counts)))
+        if len(waiting[lang]) >= 16:
+            settle(lang)
     for lang in list(waiting):
         settle(lang)
     for lang, (grams, counts) in held.items():
         yield lang, grams, counts
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
-    """``lang, gram, c`` over all rows of ``lang, text``."""
+def block_grams(dealt: DataFrame, marks: DataFrame) -> DataFrame:
+    """``block, lang, gram, c`` of each block's distinct n-grams: ``c`` times in the texts of the ids that ``marks`` (``block, doc_id``) has."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = ((b.column("lang").to_pylist(), b.column("text")) for b in batches)
-        for lang, grams, counts in _gathered(stream):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], ["lang", "gram", "c"]
-            )
+    def run(texts: pa.Table, ids: pa.Table) -> pa.Table:
+        trusted = set(ids.column("doc_id").to_pylist())
+        number = texts.column("block")[0].as_py() if texts.num_rows else 0
+        out = [
+            pa.table([np.full(len(grams), number, dtype=np.int32), pa.array([lang] * len(grams), pa.string()), grams, counts], ["block", "lang", "gram", "c"])
+            for lang, grams, counts in (_gathered(texts, trusted) if texts.num_rows else ())
+        ]
+        empty = pa.schema([("block", pa.int32()), ("lang", pa.string()), ("gram", pa.int64()), ("c", pa.int64())]).empty_table()
+        return pa.concat_tables([empty, *out])
 
-    return rows.select("lang", "text").mapInArrow(run, "lang string, gram bigint, c bigint").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+    return dealt.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(run, "block int, lang string, gram bigint, c bigint")
 
 
 def _suffix(gram: Column | str, length: int) -> Column:
@@ -156,15 +167,15 @@ def _discounted(counts: DataFrame, discount: DataFrame) -> DataFrame:
     return counts.join(discount, "lang").select("lang", "gram", "c", taken.alias("taken"))
 
 
-def train(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Count and context tables of the orders 1 to 4 from all rows ``lang, text`` of trusted documents.
+def train(grams: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Count and context tables of the orders 1 to 4 from ``lang, gram, c``: the 4-grams of all trusted text, in any number of rows.
 
     Counts are ``lang, gram, kept`` (less the discount); contexts are ``lang,
     context, total`` and the mass ``spare`` that interpolation hands to the
     order below. Discounts are a written table of one row a language: Spark
     broadcasts it by its size, or splits the large languages of the join.
     """
-    counts = {ORDER: materialize(gram_counts(trusted), "kn-counts")}
+    counts = {ORDER: materialize(grams.groupBy("lang", "gram").agg(F.sum("c").alias("c")), "kn-counts")}
     for order in range(ORDER - 1, 0, -1):
         counts[order] = materialize(lower_counts(counts[order + 1], order), "kn-counts")
     out = []
@@ -226,32 +237,31 @@ def only_trusted(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     return rows.join(trusted, F.col("doc_id") == F.col("t_id")).drop("t_id")
 
 
-def scored(rows: DataFrame, model: list[tuple[DataFrame, DataFrame]], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, body_hash, lang, n, perplexity`` of every row of :func:`prepared`."""
-    spark = rows.sparkSession
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(spark.sparkContext.defaultParallelism, math.ceil(size / block_bytes))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "body_hash"), F.lit(n)).cast("int")).repartitionById(n, "block")
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = []
-
-        def stream():
-            for b in batches:
-                if b.num_rows:
-                    block[:] = [b.column("block")[0].as_py()]
-                    yield b.column("lang").to_pylist(), b.column("text")
-
-        for lang, grams, _ in _gathered(stream()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(grams), block[0], dtype=np.int32)), pa.array([lang] * len(grams), pa.string()), pa.array(grams)],
-                ["block", "lang", "gram"],
-            )
-
-    # one plan, so that the exchanges of the texts and of the questions run once and are read again
-    asked = dealt.mapInArrow(ask, "block int, lang string, gram bigint").repartition(partitions(spark), "lang", "gram")
+def block_of(blocks: int) -> Column:
+    """Block of a row of :func:`prepared`, by its id and text."""
+    return F.pmod(F.xxhash64("doc_id", "body_hash"), F.lit(blocks)).cast("int").alias("block")
+
+
+def dealt_rows(rows: DataFrame, blocks: int) -> DataFrame:
+    """``doc_id, body_hash, lang, block, size, packed`` of every row of :func:`prepared`, each block in a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec(CODEC)
+        for batch in batches:
+            packed = [codec.compress(x.as_buffer(), asbytes=True) if x.as_buffer().size else b"" for x in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], [*batch.schema.names[:-1], "packed"])
+
+    sized = rows.select("doc_id", "body_hash", "lang", block_of(blocks), F.octet_length("text").cast("bigint").alias("size"), "text")
+    packed = sized.mapInArrow(run, "doc_id bigint, body_hash bigint, lang string, block int, size bigint, packed binary")
+    return packed.repartitionById(blocks, "block")
+
+
+def scored(dealt: DataFrame, asked: DataFrame, model: list[tuple[DataFrame, DataFrame]], blocks: int) -> DataFrame:
+    """``doc_id, body_hash, lang, n, perplexity`` of every row of :func:`dealt_rows`; ``asked`` has ``block, lang, gram`` of its n-grams."""
+    spark = dealt.sparkSession
+    asked = asked.select("block", "lang", "gram").repartition(partitions(spark), "lang", "gram")
     known = log_probabilities(asked.select("lang", "gram").distinct(), model)
-    answers = asked.join(known, ["lang", "gram"]).select("block", "lang", "gram", "logp").repartitionById(n, "block")
+    answers = asked.join(known, ["lang", "gram"]).select("block", "lang", "gram", "logp").repartitionById(blocks, "block")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         tables = {}
@@ -262,8 +272,7 @@ def scored(rows: DataFrame, model: list[tuple[DataFrame, DataFrame]], block_byte
         for s, e in zip(starts, [*starts[1:], len(names)]):
             tables[names[s]] = grams[s:e], logp[s:e]
         lengths, sums = np.zeros(left.num_rows, dtype=np.int64), np.zeros(left.num_rows)
-        languages, texts = left.column("lang").to_pylist(), left.column("text").combine_chunks()
-        for lang, mine, part in _text_slices(languages, texts):
+        for lang, mine, part in _text_slices(left.column("lang").to_pylist(), left):
             found, owner, size = symbols(part)
             keys, values = tables[lang]
             sums[mine] = np.bincount(owner, weights=values[np.searchsorted(keys, found)], minlength=len(mine))
@@ -276,7 +285,7 @@ def scored(rows: DataFrame, model: list[tuple[DataFrame, DataFrame]], block_byte
     return both.applyInArrow(score, "doc_id bigint, body_hash bigint, lang string, n bigint, perplexity double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Perplexity and verdict of every row: ``doc_id, body_hash, lang, n, perplexity, threshold, kept``.
 
     All text of trusted documents trains the model; a document's threshold is
@@ -288,10 +297,15 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
     ``doc_id`` is never labelled; other columns are ignored; without any labels
     all rows are kept; an empty table gives an empty result.
     """
-    rows = prepared(docs)
+    spark, rows = docs.sparkSession, prepared(docs)
     trusted = materialize(trusted_ids(labels), "kn-trusted")
-    model = train(only_trusted(rows.select("doc_id", "lang", "text"), trusted))
-    found = materialize(scored(rows, model), "kn-scored")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(spark.sparkContext.defaultParallelism, math.ceil(size / block_bytes))
+    dealt = dealt_rows(rows, blocks)
+    marks = only_trusted(rows.select("doc_id", block_of(blocks)), trusted).distinct().repartitionById(blocks, "block")
+    asked = materialize(block_grams(dealt, marks), "kn-asked")
+    model = train(asked.where("c > 0").select("lang", "gram", "c"))
+    found = materialize(scored(dealt, asked, model, blocks), "kn-scored")
     limits = only_trusted(found, trusted).groupBy("lang").agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold"))
     limits = materialize(limits, "kn-limits")  # a row a language; apart from the aggregate, so that large languages can be split
     limit = (F.col("threshold") * F.exp(SHORT / F.sqrt("n"))).alias("threshold")
