@@ -160,72 +160,62 @@ def _subcategory(p_name: Column, key: Column) -> Column:
 
 
 def raw_products(part: DataFrame) -> DataFrame:
-    """Two rows for every part, and for some a third with an id that is none; the parts are read once."""
-    k, name, size = F.col("p_partkey"), F.col("p_name"), F.col("p_size")
-    current = F.struct(
-        _text(k).alias("ProductID"),
-        F.concat(F.lit(" "), name, F.lit(" ")).alias("ProductDesc"),
-        F.col("p_brand").alias("ProductNumber"),
-        _cycle(k, FLAG_TEXTS).alias("MakeFlag"),
+    """Two rows for every part, and for some a third with an id that is none; the parts are read once.
+
+    Only the row's number is exploded. Spark takes a generator's output to be as
+    large as its input, so wide rows out of a generator make what is selected
+    from them look far smaller than it is, and a large side would be broadcast.
+    """
+    k, name, size, row = F.col("p_partkey"), F.col("p_name"), F.col("p_size"), F.col("copy")
+
+    # Every part also appears as a second, older product row (ids padded, so
+    # they collide only after typing); de-duplication must pick one. Ids that
+    # type to nothing must all survive it.
+    turn = F.pmod(k, F.lit(59))
+    numbers = F.when(turn < 4, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
+
+    def by_row(current: Column, older: Column) -> Column:
+        return F.when(row == 0, current).otherwise(older)
+
+    def by_kind(old: Column, code: Column, long: Column, half: Column, none: Column) -> Column:
+        return F.when(row == 1, old).when(turn == 0, code).when(turn == 1, long).when(turn == 2, half).otherwise(none)
+
+    text = F.lit(None).cast("string")
+    older_id = by_kind(
+        F.concat(F.lit(" "), _text(k)),
+        F.concat(F.lit(" AB-"), _text(k)),
+        F.concat(F.lit("9999999999999999999"), _text(k)),
+        F.concat(_text(k), F.lit(".5")),
+        text,
+    )
+    kind = by_kind(*(F.lit(f" ({x})") for x in ("old", "code", "long", "half", "none")))
+    color = (
         F.when(F.pmod(k, F.lit(17)) == 0, F.lit("   "))
-        .when(F.pmod(k, F.lit(19)) == 0, F.lit(None).cast("string"))
+        .when(F.pmod(k, F.lit(19)) == 0, text)
         .otherwise(_lookup(F.split_part(name, F.lit(" "), F.lit(1)), COLOR_TEXTS))
-        .alias("Color"),
+    )
+    reorder = F.when(F.pmod(k, F.lit(4)) < len(REORDER_TEXTS), _cycle(k, REORDER_TEXTS, modulus=4)).otherwise(_text(size * 3))
+    cost = F.when(F.pmod(size, F.lit(10)) == 0, F.lit("")).otherwise(F.concat(_text(size), F.lit(".75")))
+    even = F.pmod(k, F.lit(2)) == 0
+    category = F.when(F.pmod(k, F.lit(3)) == 0, F.when(even, text).otherwise(F.lit("  "))).otherwise(F.col("p_type"))
+    return part.select("*", F.explode(numbers).alias("copy")).select(
+        by_row(_text(k), older_id).alias("ProductID"),
+        by_row(F.concat(F.lit(" "), name, F.lit(" ")), F.concat(name, kind)).alias("ProductDesc"),
+        F.col("p_brand").alias("ProductNumber"),
+        by_row(_cycle(k, FLAG_TEXTS), F.lit("false")).alias("MakeFlag"),
+        by_row(color, F.lit("Silver")).alias("Color"),
         _text(size).alias("SafetyStockLevel"),
-        F.when(F.pmod(k, F.lit(4)) < len(REORDER_TEXTS), _cycle(k, REORDER_TEXTS, modulus=4))
-        .otherwise(_text(size * 3))
-        .alias("ReorderPoint"),
-        F.when(F.pmod(size, F.lit(10)) == 0, F.lit(""))
-        .otherwise(F.concat(_text(size), F.lit(".75")))
-        .alias("StandardCost"),
+        by_row(reorder, F.lit("0")).alias("ReorderPoint"),
+        by_row(cost, F.lit("1.5")).alias("StandardCost"),
         _text(F.col("p_retailprice")).alias("ListPrice"),
         _text(size).alias("Size"),
         F.lit("CM ").alias("SizeUnitMeasureCode"),
-        F.concat(_text(size), F.lit("e-1")).alias("Weight"),
+        by_row(F.concat(_text(size), F.lit("e-1")), text).alias("Weight"),
         F.lit("LB").alias("WeightUnitMeasureCode"),
-        F.when(
-            F.pmod(k, F.lit(3)) == 0,
-            F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string")).otherwise(F.lit("  ")),
-        )
-        .otherwise(F.col("p_type"))
-        .alias("ProductCategoryName"),
+        by_row(category, F.when(even, text).otherwise(F.lit("Legacy"))).alias("ProductCategoryName"),
         _subcategory(name, k).alias("ProductSubCategoryName"),
     )
 
-    def older(product_id: Column, kind: str) -> Column:
-        return F.struct(
-            product_id.alias("ProductID"),
-            F.concat(name, F.lit(f" ({kind})")).alias("ProductDesc"),
-            F.col("p_brand").alias("ProductNumber"),
-            F.lit("false").alias("MakeFlag"),
-            F.lit("Silver").alias("Color"),
-            _text(size).alias("SafetyStockLevel"),
-            F.lit("0").alias("ReorderPoint"),
-            F.lit("1.5").alias("StandardCost"),
-            _text(F.col("p_retailprice")).alias("ListPrice"),
-            _text(size).alias("Size"),
-            F.lit("CM ").alias("SizeUnitMeasureCode"),
-            F.lit(None).cast("string").alias("Weight"),
-            F.lit("LB").alias("WeightUnitMeasureCode"),
-            F.when(F.pmod(k, F.lit(2)) == 0, F.lit(None).cast("string"))
-            .otherwise(F.lit("Legacy"))
-            .alias("ProductCategoryName"),
-            _subcategory(name, k).alias("ProductSubCategoryName"),
-        )
-
-    # Every part also appears as a second, older product row (ids padded, so
-    # they collide only after typing); de-duplication must pick one. Ids that
-    # type to nothing must all survive it.
-    turn = F.pmod(k, F.lit(59))
-    odd = (
-        F.when(turn == 0, older(F.concat(F.lit(" AB-"), _text(k)), "code"))
-        .when(turn == 1, older(F.concat(F.lit("9999999999999999999"), _text(k)), "long"))
-        .when(turn == 2, older(F.concat(_text(k), F.lit(".5")), "half"))
-        .when(turn == 3, older(F.lit(None).cast("string"), "none"))
-    )
-    rows = F.array(current, older(F.concat(F.lit(" "), _text(k)), "old"), odd)
-    return part.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
-
 
 class DriverRawTables:
     """The three raw views over the driver tables under ``sf_dir``, each
