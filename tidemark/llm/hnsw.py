@@ -3,8 +3,9 @@
 Vectors are dealt into shards by a hash of their id; each shard's graph is
 built in one task and stored in the shared folder. Every vector queries every
 shard, in blocks. Beams widen until an audit against brute force passes, and
-for each query as long as its whole beam is within the threshold; a beam as
-wide as a graph is brute force. What is found
+for each query as long as its whole beam is within the threshold; a widened beam
+that would cost more than a comparison with all nodes of the graph gives way to
+it, which is brute force and finds all. What is found
 is verified by the cosine in double precision, then links are joined into
 components.
 """
@@ -29,6 +30,15 @@ LINKS, GROUND_LINKS, BUILD_BEAM = 48, 96, 256
 #: Links that a node may get beyond those, so that every node is reached, and the incoming links that it should have.
 SPARE, LEAST_INCOMING = 8, 3
 FIRST_BEAM = 32
+#: Nodes added to a graph at once, at most.
+INSERT_ROWS = 16_384
+#: A place of a beam takes the time in which a query is compared with about so many nodes at once
+#: (25,600 nodes of 64 numbers: 0.02 ms a place, 4e-6 ms a node).
+BEAM_NODES = 4_096
+#: Every so many nodes tell about where the nearest begin.
+SAMPLE_STRIDE = 16
+#: Leading axes whose cosines bound the whole ones.
+BOUND_AXES = 16
 #: Shards at least, and vectors of a shard at most (about 140 MB of graph and vectors of 64 numbers).
 SHARDS, SHARD_ROWS = 8, 200_000
 #: Queries that a task answers.
@@ -43,7 +53,8 @@ AUDIT_RECALL = 0.99
 ROUNDING = 1e-9
 #: Below the threshold by this much, single precision may still hide a link.
 SLACK = 1e-4
-INDEX_CHUNK = 8 << 20
+#: Bytes of a graph in one row; larger ones leave the JVM's heap in pieces.
+INDEX_CHUNK = 256 << 10
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -52,6 +63,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return wide / np.linalg.norm(wide, axis=1, keepdims=True)
 
 
+def _single_unit(vectors: np.ndarray) -> np.ndarray:
+    """:func:`_unit` in single precision, without a copy of the whole in double."""
+    out = np.empty(vectors.shape, dtype=np.float32)
+    for s in range(0, len(vectors), 8192):
+        out[s : s + 8192] = _unit(vectors[s : s + 8192])
+    return out
+
+
 class Graph:
     """A navigable small-world graph over unit vectors; nodes are ordered by falling level, so a layer is a prefix."""
 
@@ -72,7 +91,7 @@ class Graph:
         graph = cls(unit[order].astype(np.float32), layers)
         at = 1
         while at < len(unit):
-            stop = min(len(unit), at + min(at, 1024))
+            stop = min(len(unit), at + min(at, INSERT_ROWS))
             graph._insert(at, stop, beam)
             at = stop
         graph.layers = [graph._mended(table) for table in layers]
@@ -104,17 +123,20 @@ class Graph:
 
         incoming = np.bincount(table[table >= 0], minlength=nodes)
         poor = np.flatnonzero(incoming < LEAST_INCOMING)
-        if len(poor):
-            near = table[poor].astype(np.int64)
-            sims = np.einsum("ijk,ik->ij", self.vectors[np.maximum(near, 0)], self.vectors[poor])
-            back = (table[np.maximum(near, 0)] == poor[:, None, None]).any(axis=2)
+        best = np.full((LEAST_INCOMING, len(poor)), -1, dtype=np.int64)
+        for s in range(0, len(poor), 1024):
+            mine = poor[s : s + 1024]
+            near = table[mine].astype(np.int64)
+            sims = np.einsum("ijk,ik->ij", self.vectors[np.maximum(near, 0)], self.vectors[mine])
+            back = (table[np.maximum(near, 0)] == mine[:, None, None]).any(axis=2)
             sims = np.where((near >= 0) & ~back, sims, -np.inf)
+            rows = np.arange(len(mine))
             for k in range(LEAST_INCOMING):
-                best = np.argmax(sims, axis=1)
-                rows = np.arange(len(poor))
-                fine = sims[rows, best] > -np.inf
-                add(near[rows, best][fine], poor[fine])
-                sims[rows, best] = -np.inf
+                at = np.argmax(sims, axis=1)
+                best[k, s : s + 1024] = np.where(sims[rows, at] > -np.inf, near[rows, at], -1)
+                sims[rows, at] = -np.inf
+        for source in best:
+            add(source[source >= 0], poor[source >= 0])
         while True:
             reached = np.zeros(nodes, dtype=bool)
             reached[0] = True
@@ -137,31 +159,46 @@ class Graph:
             order = np.argsort(-sims, kind="stable")
             add(source[order], lost[order])
 
-    def _insert(self, at: int, stop: int, beam: int) -> None:
-        """Add the nodes ``at`` to ``stop`` to every layer they reach: candidates by search among those before, and among themselves."""
-        entry = np.zeros(stop - at, dtype=np.int64)
-        for layer in range(len(self.layers) - 1, -1, -1):
-            table = self.layers[layer]
+    def _insert(self, at: int, stop: int, most: int) -> None:
+        """Add the nodes ``at`` to ``stop`` to every layer they reach, linked with some of the nearest ``most`` that the layer has by then.
+
+        Those are found among all nodes of the layer: a graph is bounded by
+        SHARD_ROWS, and products of matrices are faster than walks and miss none.
+        """
+        for table in self.layers:
             here = min(stop, len(table))
-            old = min(at, len(table))
-            if here <= at:  # none of the new nodes reaches this layer
-                entry = self._descend(self.vectors[at:stop], entry, layer)
-                continue
-            new = here - at
-            ids, sims = self._beam(self.vectors[at:stop], entry, layer, beam, old)
-            entry = np.where(ids[:, 0] >= 0, ids[:, 0], entry)
-            own = self.vectors[at:here] @ self.vectors[at:here].T
-            np.fill_diagonal(own, -np.inf)
-            near = min(new - 1, table.shape[1])
-            if near > 0:
-                top = np.argpartition(-own, near - 1, axis=1)[:, :near]
-                ids = np.concatenate((ids[:new], top + at), axis=1)
-                sims = np.concatenate((sims[:new], np.take_along_axis(own, top, axis=1)), axis=1)
+            step = max(16, min(256, (1 << 23) // here))
+            for s in range(at, here, step):
+                ids, sims = self._nearest(s, min(s + step, here), here, most)
+                table[s : min(s + step, here)] = self._choose(ids, sims, table.shape[1])
+            if here > at:
+                self._link_back(table, np.repeat(np.arange(at, here), table.shape[1]), table[at:here].ravel())
+
+    def _nearest(self, start: int, stop: int, nodes: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """About the nearest ``most`` of the first ``nodes`` to each of ``start`` to ``stop`` but itself, in no order; -1 where fewer."""
+        sims = self.vectors[start:stop] @ self.vectors[:nodes].T
+        rows = np.arange(stop - start)
+        sims[rows, rows + start] = -np.inf
+        if nodes > SAMPLE_STRIDE * most:
+            expected = most / SAMPLE_STRIDE
+            sample = sims[:, ::SAMPLE_STRIDE]
+            rank = min(sample.shape[1], math.ceil(expected + 3 * math.sqrt(expected)))
+            floor = -np.partition(-sample, rank - 1, axis=1)[:, rank - 1]
+            row, ids = np.divmod(np.flatnonzero(sims >= floor[:, None]), nodes)
+            counts = np.bincount(row, minlength=len(rows))
+            if counts.max() <= nodes // 4:  # else many are equally near
+                place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                near = np.full((len(rows), counts.max()), -1, dtype=np.int64)
+                near[row, place] = ids
+                sims = np.where(near >= 0, np.take_along_axis(sims, np.maximum(near, 0), axis=1), -np.inf)
             else:
-                ids, sims = ids[:new], sims[:new]
-            chosen = self._choose(ids, sims, table.shape[1])
-            table[at:here] = chosen
-            self._link_back(table, np.repeat(np.arange(at, here), table.shape[1]), chosen.ravel())
+                near = np.broadcast_to(np.arange(nodes), sims.shape)
+        else:
+            near = np.broadcast_to(np.arange(nodes), sims.shape)
+        if near.shape[1] > most:
+            top = np.argpartition(-sims, most - 1, axis=1)[:, :most]
+            near, sims = np.take_along_axis(near, top, axis=1), np.take_along_axis(sims, top, axis=1)
+        return np.where(sims > -np.inf, near, -1), sims
 
     def _choose(self, ids: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
         """Up to ``most`` diverse neighbours: nearer to the node than to any chosen one; the nearest others fill up."""
@@ -182,10 +219,17 @@ class Graph:
             between = np.matmul(v, v.transpose(0, 2, 1))
             nearest = np.full(part.shape, -np.inf, dtype=np.float32)
             picked = np.zeros(part.shape, dtype=bool)
+            room = np.full(len(part), most)
             for k in range(part.shape[1]):
-                take = ok[:, k] & (nearest[:, k] < sim[:, k]) & (picked.sum(axis=1) < most)
-                picked[:, k] = take
-                nearest = np.where(take[:, None], np.maximum(nearest, between[:, :, k]), nearest)
+                take = np.flatnonzero(ok[:, k] & (nearest[:, k] < sim[:, k]) & (room > 0))
+                picked[take, k] = True
+                room[take] -= 1
+                if len(take) == len(part):
+                    np.maximum(nearest[:, k + 1 :], between[:, k, k + 1 :], out=nearest[:, k + 1 :])
+                elif len(take):
+                    nearest[take, k + 1 :] = np.maximum(nearest[take, k + 1 :], between[take, k, k + 1 :])
+                if not (room > 0).any():
+                    break
             rank = np.argsort(np.where(picked, 0, np.where(ok, 1, 2)), axis=1, kind="stable")[:, :most]
             best = np.where(np.take_along_axis(ok, rank, axis=1), np.take_along_axis(part, rank, axis=1), -1)
             out[s : s + 256, : best.shape[1]] = best
@@ -195,26 +239,32 @@ class Graph:
         """Add the links target to source; a full list is chosen anew."""
         fine = target >= 0
         source, target = source[fine], target[fine].astype(np.int64)
-        sims = np.einsum("ij,ij->i", self.vectors[source], self.vectors[target])
+        sims = np.empty(len(source), dtype=np.float32)
+        for s in range(0, len(source), 65_536):
+            part = slice(s, s + 65_536)
+            sims[part] = np.einsum("ij,ij->i", self.vectors[source[part]], self.vectors[target[part]])
         order = np.lexsort((-sims, target))
         source, target, sims = source[order], target[order], sims[order]
         nodes, first, counts = np.unique(target, return_index=True, return_counts=True)
-        rank = np.arange(len(target)) - np.repeat(first, counts)
-        width = min(int(counts.max()), 2 * table.shape[1]) if len(counts) else 0
-        keep = rank < width
-        row = np.repeat(np.arange(len(nodes)), counts)[keep]
-        new_ids = np.full((len(nodes), width), -1, dtype=np.int64)
-        new_sims = np.full((len(nodes), width), -np.inf, dtype=np.float32)
-        new_ids[row, rank[keep]], new_sims[row, rank[keep]] = source[keep], sims[keep]
         for s in range(0, len(nodes), 1024):
-            mine = nodes[s : s + 1024]
+            mine, many = nodes[s : s + 1024], counts[s : s + 1024]
+            width = min(int(many.max()), 2 * table.shape[1])
+            part = slice(first[s], first[s] + many.sum())
+            rank = np.arange(many.sum()) - np.repeat(first[s : s + 1024] - first[s], many)
+            keep = rank < width
+            row = np.repeat(np.arange(len(mine)), many)[keep]
+            new_ids = np.full((len(mine), width), -1, dtype=np.int64)
+            new_sims = np.full((len(mine), width), -np.inf, dtype=np.float32)
+            new_ids[row, rank[keep]], new_sims[row, rank[keep]] = source[part][keep], sims[part][keep]
             old = table[mine].astype(np.int64)
             old_sims = np.einsum("ijk,ik->ij", self.vectors[np.maximum(old, 0)], self.vectors[mine])
-            ids = np.concatenate((old, new_ids[s : s + 1024]), axis=1)
-            table[mine] = self._choose(ids, np.concatenate((old_sims, new_sims[s : s + 1024]), axis=1), table.shape[1])
+            table[mine] = self._choose(np.concatenate((old, new_ids), axis=1), np.concatenate((old_sims, new_sims), axis=1), table.shape[1])
 
     def _descend(self, queries: np.ndarray, entry: np.ndarray, layer: int) -> np.ndarray:
         """Greedy walk of every query on a layer."""
+        return np.concatenate([self._walk(queries[s : s + 2048], entry[s : s + 2048], layer) for s in range(0, len(queries), 2048)] or [entry])
+
+    def _walk(self, queries: np.ndarray, entry: np.ndarray, layer: int) -> np.ndarray:
         entry = entry.copy()
         table = self.layers[layer]
         best = np.einsum("ij,ij->i", queries, self.vectors[entry])
@@ -295,21 +345,56 @@ class Graph:
             entry = self._descend(queries, entry, layer)
         rows, out_q, out_n = np.arange(len(queries)), [], []
         nodes = len(self.vectors)
-        while len(rows) and width < nodes:
+        while len(rows) and width < nodes and (width <= FIRST_BEAM or width * BEAM_NODES < nodes):
             ids, sims = self._beam(queries[rows], entry[rows], 0, width, nodes)
             full = ((sims >= least) & (ids >= 0)).sum(axis=1) > 0.75 * width
             q, k = np.nonzero((sims >= reach[rows, None]) & (ids >= 0) & ~full[:, None])
             out_q.append(rows[q])
             out_n.append(ids[q, k])
             rows, width = rows[full], 2 * width
-        step = max(1, (1 << 22) // nodes)
-        for s in range(0, len(rows), step):
-            mine = rows[s : s + step]
-            q, n = np.nonzero(queries[mine] @ self.vectors.T >= reach[mine, None])
-            out_q.append(mine[q])
+        if len(rows):
+            q, n = self._scan(queries[rows], reach[rows].astype(np.float32))
+            out_q.append(rows[q])
             out_n.append(n)
         return np.concatenate(out_q) if out_q else rows, np.concatenate(out_n) if out_n else rows
 
+    def _scan(self, queries: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(query, node)`` of all nodes within the queries' reach, by comparison with all, tile by tile.
+
+        A cosine is at most that of the leading axes plus the product of what the
+        two vectors have beside them. Where that bound leaves few pairs, only
+        those are compared whole; where it doesn't, the tiles are.
+        """
+        out_q, out_n = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        bounded = self.vectors.shape[1] >= 2 * BOUND_AXES
+        if bounded:
+            sample = self.vectors[:: max(1, len(self.vectors) // 4096)]
+            axes = np.linalg.eigh(sample.T @ sample)[1][:, : -BOUND_AXES - 1 : -1]
+
+            def short(vectors: np.ndarray) -> np.ndarray:
+                lead = vectors @ axes
+                rest = np.maximum(0, np.square(vectors).sum(axis=1) - np.square(lead).sum(axis=1))
+                return np.concatenate((lead, np.sqrt(rest)[:, None]), axis=1)
+
+            near, asked = short(self.vectors), short(queries)
+        for s in range(0, len(queries), 256):
+            mine, least = queries[s : s + 256], reach[s : s + 256, None]
+            for n in range(0, len(self.vectors), 1024):
+                nodes = self.vectors[n : n + 1024]
+                if bounded:
+                    hits = np.flatnonzero(asked[s : s + 256] @ near[n : n + 1024].T >= least - SLACK)
+                    bounded = len(hits) <= len(mine) * len(nodes) // 32
+                if bounded:
+                    q, k = np.divmod(hits, len(nodes))
+                    fine = np.einsum("ij,ij->i", mine[q], nodes[k]) >= least[q, 0]
+                    q, k = q[fine], k[fine]
+                else:
+                    q, k = np.divmod(np.flatnonzero(mine @ nodes.T >= least), len(nodes))
+                if len(q):
+                    out_q.append(q + s)
+                    out_n.append(k + n)
+        return np.concatenate(out_q), np.concatenate(out_n)
+
     def to_bytes(self, raw: np.ndarray) -> bytes:
         """The graph with the given vectors (in the nodes' order) as they came, from which :meth:`from_bytes` makes it again."""
         out = io.BytesIO()
@@ -320,7 +405,7 @@ class Graph:
     def from_bytes(cls, blob: bytes) -> tuple[Graph, np.ndarray]:
         found = np.load(io.BytesIO(blob))
         raw = found["raw"]
-        return cls(_unit(raw).astype(np.float32), [found[f"layer{k}"] for k in range(len(found.files) - 1)]), raw
+        return cls(_single_unit(raw), [found[f"layer{k}"] for k in range(len(found.files) - 1)]), raw
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -406,9 +491,10 @@ def _matches(left: pa.Table, right: pa.Table, least: float, width: int, floors:
     dims, graph_dims = left.column("dims").to_numpy(), right.column("dims").to_numpy()
     for d in np.intersect1d(dims, graph_dims):
         part = left.filter(pa.array(dims == d))
-        chunks = right.filter(pa.array(graph_dims == d)).sort_by("chunk_no")
-        graph, raw = Graph.from_bytes(b"".join(chunks.column("blob").to_pylist()))
-        nodes = np.frombuffer(chunks.column("class_ids")[0].as_py(), dtype="<i8")
+        rows = np.flatnonzero(graph_dims == d)
+        rows = rows[np.argsort(right.column("chunk_no").to_numpy()[rows])].tolist()
+        graph, raw = Graph.from_bytes(b"".join(right.column("blob")[k].as_buffer() for k in rows))
+        nodes = np.frombuffer(right.column("class_ids")[rows[0]].as_py(), dtype="<i8")
         ids = part.column("class_id").to_numpy()
         unit = _unit(_matrix(part.column("v")))
         reach = np.full(len(ids), least) if floors is None else np.minimum(least, [floors[x] - ROUNDING for x in ids.tolist()])
